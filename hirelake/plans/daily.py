@@ -36,7 +36,7 @@ class Layout:
 
 def run_day(
     spark: SparkSession, layout: Layout, day: dt.date, raw_a: DataFrame | None = None, raw_b: DataFrame | None = None,
-    zone: str | None = None,
+    zone: str | None = None, order_a: list[str] | None = None, order_b: list[str] | None = None,
 ) -> DataFrame:
     """Store the day's rows, upsert both boards, rebuild the aggregates, report.
 
@@ -48,8 +48,8 @@ def run_day(
             write_snapshot(rows, layout.raw(board), day)
     table_a = VersionedTable(spark, layout.clean("a"), CLEAN_A)
     table_b = VersionedTable(spark, layout.clean("b"), CLEAN_B)
-    postings_a = upsert_version(table_a, clean_a(read_day(spark, layout.raw("a"), day, RAW_A), zone=zone))
-    postings_b = upsert_version(table_b, clean_b(read_day(spark, layout.raw("b"), day, RAW_B), zone=zone))
+    postings_a = upsert_version(table_a, clean_a(read_day(spark, layout.raw("a"), day, RAW_A), order_a, zone))
+    postings_b = upsert_version(table_b, clean_b(read_day(spark, layout.raw("b"), day, RAW_B), order_b, zone))
     names = {
         alias: materialize(df, alias, layout.namespace, path=layout.gold(alias))
         for alias, df in build_all(postings_a, postings_b).items()
