@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import squeeze
@@ -20,7 +22,8 @@ EXPERIENCE_PATTERN = (
 
 
 def _number(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    # No cast of an empty group: a failed number parse is slow.
+    return F.when(text != "", F.replace(text, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def half_steps(value: Column) -> Column:
@@ -28,22 +31,33 @@ def half_steps(value: Column) -> Column:
     return F.floor(value * 2 + 0.5) / F.lit(2.0)
 
 
-def experience_years(text: Column) -> Column:
-    """Years as a double, or null where the wording is not known."""
-    plain = F.translate(F.lower(squeeze(text)), "–—", "--")
-    # One match per row: the four groups come back as one delimited string.
-    parts = F.split(F.regexp_replace(plain, EXPERIENCE_PATTERN, "$1;$2;$3;$4"), ";")
-    word, years = F.get(parts, F.lit(0)), _number(F.get(parts, F.lit(1)))
-    upper, months = _number(F.get(parts, F.lit(2))), _number(F.get(parts, F.lit(3)))
-    return (
-        F.when(plain.contains(NOT_REQUIRED), F.lit(0.0))
-        .when(F.size(parts) != 4, F.lit(None).cast("double"))
-        .when(upper.isNotNull(), (years + upper) / 2)
-        .when(months.isNotNull(), half_steps(years + months / 12))
-        .when(word == OVER_WORD, years + 0.5)
-        .when(word == UNDER_WORD, F.greatest(F.lit(0.0), years - 0.5))
-        .otherwise(years)
-    )
+def parse_experience(column: str = "experience", output: str = "experience_years") -> Callable[[DataFrame], DataFrame]:
+    """Add the years as a double, null where the wording is not known.
+
+    The text is matched in a projection of its own: every rule below reads the
+    four groups, and must not repeat the match.
+    """
+
+    def run(df: DataFrame) -> DataFrame:
+        kept = df.columns
+        plain = F.translate(F.lower(squeeze(F.col(column))), "–—", "--")
+        df = df.withColumn("_plain", plain)
+        df = df.withColumn("_parts", F.split(F.regexp_replace("_plain", EXPERIENCE_PATTERN, "$1;$2;$3;$4"), ";"))
+        word = F.get("_parts", F.lit(0))
+        years, upper, months = (_number(F.get("_parts", F.lit(i))) for i in (1, 2, 3))
+        df = df.withColumns({"_word": word, "_years": years, "_upper": upper, "_months": months})
+        value = (
+            F.when(F.col("_plain").contains(NOT_REQUIRED), F.lit(0.0))
+            .when(F.size("_parts") != 4, F.lit(None).cast("double"))
+            .when(F.col("_upper").isNotNull(), (F.col("_years") + F.col("_upper")) / 2)
+            .when(F.col("_months").isNotNull(), half_steps(F.col("_years") + F.col("_months") / 12))
+            .when(F.col("_word") == OVER_WORD, F.col("_years") + 0.5)
+            .when(F.col("_word") == UNDER_WORD, F.greatest(F.lit(0.0), F.col("_years") - 0.5))
+            .otherwise(F.col("_years"))
+        )
+        return df.select(*kept, value.alias(output))
+
+    return run
 
 
 def experience_error(years: Column) -> Column:

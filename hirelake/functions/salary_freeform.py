@@ -76,8 +76,9 @@ def _phrase_key(text: Column) -> Column:
 
 def _value(number: Column) -> Column:
     grouped = number.rlike(r"^[0-9]{1,3}([.,][0-9]{3})+$")
-    return F.when(grouped, F.translate(number, ".,", "").try_cast("double")).otherwise(
-        F.replace(number, F.lit(","), F.lit(".")).try_cast("double")
+    # No cast of an empty group: a failed number parse is slow.
+    return F.when(grouped, F.translate(number, ".,", "").try_cast("double")).when(
+        number != "", F.replace(number, F.lit(","), F.lit(".")).try_cast("double")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelake.functions.text import null_to_blank, squeeze
+from hirelake.functions.text import null_to_blank
 
 # Mention (lower case, '/' as space) to canonical skill.
 SKILLS = {
@@ -28,29 +28,37 @@ SKILLS = {
     "data labeling": "Data Labeling",
     "ui ux design": "UI/UX Design",
 }
-MAX_WORDS = 3
+# Words are separated by single spaces, tags by this mark, in the texts searched.
+_BORDER = "\x01"
 
 
-def _key(text: Column) -> Column:
-    return squeeze(F.regexp_replace(F.lower(text), r"[\s,/()|]+", " "))
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(F.lower(text), r"[\s,/()|]+", " ")
 
 
-def _lookup(keys: Column, skills: dict[str, str]) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in skills.items() for x in pair])
-    return F.transform(keys, lambda k: F.try_element_at(table, k))
+def skill_text(title: Column) -> Column:
+    """Title as ' word word '."""
+    return F.concat(F.lit(" "), _plain(null_to_blank(title)), F.lit(" "))
 
 
-def _windows(title: Column) -> Column:
-    """Runs of one to MAX_WORDS words, by position in the title."""
-    words = F.split(_key(title), " ")
-    return F.flatten(F.transform(words, lambda _, i: F.array(
-        *[F.array_join(F.slice(words, i + 1, n), " ") for n in range(1, MAX_WORDS + 1)]
-    )))
+def skill_text_of_tags(tags: Column) -> Column:
+    """Tags with a border on both sides of each."""
+    joined = F.array_join(F.coalesce(tags, F.array().cast("array<string>")), _BORDER)
+    return F.regexp_replace(F.concat(F.lit(_BORDER), _plain(joined), F.lit(_BORDER)), f" *{_BORDER} *", _BORDER)
 
 
-def skills(title: Column, tags: Column, vocabulary: dict[str, str] = SKILLS) -> Column:
-    """Distinct canonical skills: title mentions first, then tags, in order."""
-    from_title = _lookup(_windows(null_to_blank(title)), vocabulary)
-    from_tags = _lookup(F.transform(tags, _key), vocabulary)
-    found = F.concat(from_title, from_tags)
-    return F.array_distinct(F.filter(found, lambda s: s.isNotNull()))
+def _mentions(text: Column, border: str, vocabulary: dict[str, str]) -> Column:
+    """Every skill standing between two borders, longest first at each place, in order."""
+    names = "|".join(rf"\Q{k}\E" for k in sorted(vocabulary, key=len, reverse=True))
+    return F.regexp_extract_all(text, F.lit(rf"(?<={border})(?=({names}){border})"), 1)
+
+
+def skills(title_text: Column, tag_text: Column, vocabulary: dict[str, str] = SKILLS) -> Column:
+    """Distinct canonical skills: title mentions first, then whole tags, in order.
+
+    The texts come from `skill_text` and `skill_text_of_tags`; the keys of
+    `vocabulary` are lower case with '/' written as a space.
+    """
+    found = F.concat(_mentions(title_text, " ", vocabulary), _mentions(tag_text, _BORDER, vocabulary))
+    table = F.create_map(*[F.lit(x) for pair in vocabulary.items() for x in pair])
+    return F.array_distinct(F.transform(found, lambda k: F.try_element_at(table, k)))

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 # The characters Python's str.split() and str.strip() count as
 # whitespace, which is a superset of the regex class \s.
 SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 
 # Everything but letters, digits, combining marks, '+' and '#' separates words;
 # '|' is kept apart because it marks the border between two tags.
@@ -25,7 +29,7 @@ def squeeze(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim all Unicode whitespace, keeping the inside of the text as it is."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.experience import experience_years
+from hirelake.functions.experience import parse_experience
 from hirelake.functions.roles import GROUP_PHRASES, ROLES, Role, group_hint, group_of_role, roles_in_text
 from hirelake.functions.seniority import seniority
-from hirelake.functions.skills import SKILLS, skills
+from hirelake.functions.skills import SKILLS, skill_text, skill_text_of_tags, skills
 from hirelake.functions.tags import normalized_tags
 from hirelake.functions.text import phrase_text, phrase_text_of_tags
 
@@ -32,14 +32,15 @@ def classify(
     df = df.withColumns({
         "_title_text": phrase_text(F.col("title")),
         "_tag_text": phrase_text_of_tags(F.col("_tags")),
-        "_years": experience_years(F.col("experience")),
-    })
+        "_skill_title": skill_text(F.col("title")),
+        "_skill_tags": skill_text_of_tags(F.col("_tags")),
+    }).transform(parse_experience("experience", "_exp_years"))
     df = df.withColumns({
         "_title_roles": roles_in_text(F.col("_title_text"), roles),
         "_tag_roles": roles_in_text(F.col("_tag_text"), roles),
         "_hint": F.coalesce(group_hint(F.col("_title_text"), hints), group_hint(F.col("_tag_text"), hints)),
-        "_level": seniority(F.col("_title_text"), F.col("_tag_text"), F.col("_years")),
-        "_skills": skills(F.col("title"), F.col("_tags"), vocabulary),
+        "_level": seniority(F.col("_title_text"), F.col("_tag_text"), F.col("_exp_years")),
+        "_skills": skills(F.col("_skill_title"), F.col("_skill_tags"), vocabulary),
     })
     df = df.withColumn("_roles", F.when(F.size("_title_roles") > 0, F.col("_title_roles")).otherwise(F.col("_tag_roles")))
     df = df.withColumn("_primary", F.get("_roles", F.lit(0)))
@@ -53,7 +54,7 @@ def classify(
         F.col("_primary").alias("primary_role"),
         F.slice("_roles", F.lit(2), F.greatest(F.size("_roles") - 1, F.lit(0))).alias("secondary_roles"),
         F.col("_level").alias("seniority"),
-        F.col("_years").alias("experience_years"),
+        F.col("_exp_years").alias("experience_years"),
         F.when(F.col("_status") == INSUFFICIENT, F.array().cast("array<string>")).otherwise(F.col("_skills")).alias("skills"),
         (F.size("_roles") > 1).alias("is_multi_role"),
         F.col("_status").alias("parse_status"),

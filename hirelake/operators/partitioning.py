@@ -10,12 +10,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread_small(df: DataFrame, target_bytes: int = 64 << 20) -> DataFrame:
-    """Round-robin over the cores when the input would fill fewer tasks than that.
+def spread_small(df: DataFrame, *keys: str, target_bytes: int = 64 << 20) -> DataFrame:
+    """Spread the rows over the cores when the input would fill fewer tasks than that.
 
     A one-file, one-row-group input is read by a single task whatever the number
     of cores. Inputs above cores x target_bytes have enough splits and get no
-    shuffle.
+    shuffle. `keys` should tell rows apart (a row identity, not a group): hashing
+    them avoids the sort that a round-robin needs to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if estimated_bytes(df) < cores * target_bytes else df
+    return df.repartition(cores, *keys) if estimated_bytes(df) < cores * target_bytes else df

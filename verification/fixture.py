@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelake.operators.partitioning import spread_small
 
 TABLES = ["lineitem", "orders", "customer", "nation", "part"]
+LINE_IDENTITY = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
 ORDER = ["scraped_at", "source_page", "position"]  # unique within a job_id
 
 POSTINGS_SQL = """
@@ -95,7 +96,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole fixture; Spark prunes the columns and joins no query asks for."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES}
     # The driver's lineitem is one row group, so one task would do all the work.
-    frames["lineitem"] = spread_small(frames["lineitem"])
+    frames["lineitem"] = spread_small(frames["lineitem"], *LINE_IDENTITY)
     return spark.sql(POSTINGS_SQL, **frames)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake.functions import urls
-from hirelake.functions.experience import experience_error, experience_years
+from hirelake.functions.experience import experience_error, parse_experience
 from hirelake.functions.replies import decode_classification, prompt_record
 from hirelake.functions.roles import ROLES
 from hirelake.functions.salary_freeform import parse_freeform_salary
@@ -27,6 +27,7 @@ from hirelake.operators.enrich import enrich
 from hirelake.operators.joins import join_parsed
 from hirelake.operators.partitioning import spread_small
 from hirelake.operators.phrases import group_from_table, roles_from_table
+from hirelake.operators.stages import evaluated_once
 from hirelake.operators.profile import count_by, value_frequency
 from hirelake.operators.upsert import upsert_version
 from hirelake.plans import gold, report
@@ -41,7 +42,7 @@ from hirelake.sources.tables import materialize
 from hirelake.sources.versioned import VersionedTable
 from hirelake.sources.workspace import shared_folder
 from hirelake.streaming.incremental import upsert_new_snapshots
-from verification.fixture import ORDER, postings, table
+from verification.fixture import LINE_IDENTITY, ORDER, postings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,7 +112,7 @@ def cleaned_b(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small(table(spark, sf, "pages"))
+    return spread_small(table(spark, sf, "pages"), "page_id")
 
 
 # --- scans, sources, sinks -------------------------------------------------
@@ -364,7 +365,7 @@ def html_flags(spark, sf):
         F.when(F.col("l_partkey") % 5 == 0, " level-").otherwise(" no-level-"), F.col("l_linenumber").cast("string"),
         F.when(F.col("l_suppkey") % 7 == 0, "\tlevel-9").otherwise(""),
     )
-    rows = spread_small(table(spark, sf, "lineitem")).withColumn("class", cls)
+    rows = spread_small(table(spark, sf, "lineitem"), *LINE_IDENTITY).withColumn("class", cls)
     return rows.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("l_shipdate"),
         F.array_contains(classes_of(F.col("class")), "bg-highlight").alias("is_highlight"),
@@ -464,7 +465,7 @@ def page_count_text(spark, sf):
 
 def crawl_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Page responses of one crawl per supplier, with planted violations."""
-    li = spread_small(table(spark, sf, "lineitem"))
+    li = spread_small(table(spark, sf, "lineitem"), *LINE_IDENTITY)
     asked = F.col("l_partkey") + 1
     return li.select("l_suppkey", asked.alias("asked_page")).distinct().select(
         F.col("l_suppkey").alias("crawl_id"), "asked_page",
@@ -507,7 +508,7 @@ def salary_token_parse(spark, sf):
 
 @query
 def salary_range(spark, sf):
-    ranges = with_salary(spark, sf).where("salary_type = 'range'")
+    ranges = evaluated_once(with_salary(spark, sf), *SALARY_COLUMNS).where("salary_type = 'range'")
     return as_text(ranges.select(*ROW, "salary_min", "salary_max", "salary_currency", "salary_parse_error"))
 
 
@@ -541,7 +542,7 @@ def tags_normalize(spark, sf):
 
 @named("experience_years")
 def experience_years_query(spark, sf):
-    return as_text(postings(spark, sf).select(*ROW, "experience", experience_years(F.col("experience")).alias("years")))
+    return as_text(postings(spark, sf).select(*ROW, "experience").transform(parse_experience(output="years")))
 
 
 @query
@@ -712,7 +713,7 @@ def gold_city(spark, sf):
 
 @query
 def gold_data_roles(spark, sf):
-    return gold.data_roles(cleaned_b(spark, sf))
+    return gold.data_roles(evaluated_once(cleaned_b(spark, sf), "primary_role", "experience_years"))
 
 
 @query
