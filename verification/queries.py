@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from hirelake.operators.enrich import enrich
 from hirelake.operators.joins import join_parsed
 from hirelake.operators.partitioning import spread_small
 from hirelake.operators.phrases import group_from_table, roles_from_table
-from hirelake.operators.stages import evaluated_once
 from hirelake.operators.profile import count_by, value_frequency
+from hirelake.operators.stages import evaluated_once
 from hirelake.operators.upsert import upsert_version
 from hirelake.plans import gold, report
 from hirelake.plans.clean import clean_a, clean_b
@@ -187,22 +188,19 @@ def incremental_upsert(spark, sf):
 def gold_materialize(spark, sf):
     """Cleaned tables stored, seven aggregates stored from them, all read back."""
     folder = shared_folder(spark)
-    boards = {"a": (CLEAN_A, cleaned_a), "b": (CLEAN_B, cleaned_b)}
-    stored = {
-        board: VersionedTable(spark, f"{folder}/{board}", schema).write(rows(spark, sf))
-        for board, (schema, rows) in boards.items()
-    }
-    namespace = "gold_" + folder.rpartition("-")[2].lower().replace("_", "x")
     parts = []
-    for alias, model in build_all(stored["a"], stored["b"]).items():
-        saved = spark.table(materialize(model, alias, f" {namespace} ", path=f"{folder}/gold/{alias}"))
-        text = [F.coalesce(F.col(c).cast("bigint").cast("string"), F.lit("-")) if c not in ("skill", "seniority", "city", "primary_role", "avg_experience_years")
-                else F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in saved.columns]
-        parts.append(saved.select(F.lit(alias).alias("model"), F.concat_ws("|", *text).alias("row")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    for alias, model in build_all(*stored_boards(spark, sf, folder)).items():
+        saved = spark.table(materialize(model, alias, f" {namespace_of(folder)} ", path=f"{folder}/gold/{alias}"))
+        # Averages of salaries are compared as whole numbers.
+        whole = [F.col(c).cast("bigint") if c.startswith("LUONG") else F.col(c) for c in saved.columns]
+        cells = [F.coalesce(c.cast("string"), F.lit("-")) for c in whole]
+        parts.append(saved.select(F.lit(alias).alias("model"), F.concat_ws("|", *cells).alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def namespace_of(folder: str) -> str:
+    """A namespace of its own for each run."""
+    return "gold_" + folder.rpartition("-")[2].lower().replace("_", "x")
 
 
 # --- projections -----------------------------------------------------------
@@ -754,29 +752,30 @@ def report_seniority(spark, sf):
     return report.top(gold_seniority(spark, sf), "total_jobs", "seniority")
 
 
+def stored_boards(spark: SparkSession, sf: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both cleaned tables, stored once, so that the models on top do not parse again."""
+    return (
+        VersionedTable(spark, folder + "/a", CLEAN_A).write(cleaned_a(spark, sf)),
+        VersionedTable(spark, folder + "/b", CLEAN_B).write(cleaned_b(spark, sf)),
+    )
+
+
 @query
 def report_lines(spark, sf):
     """The five lists as text, and an empty list."""
-    nothing = gold_city(spark, sf).where("TongCongViec < 0")
-    named = {
-        "skills": report.skill_lines(gold_top_skills(spark, sf)), "seniority": report.seniority_lines(gold_seniority(spark, sf)),
-        "cities": report.city_lines(gold_city(spark, sf)), "data_roles": report.data_role_lines(gold_data_roles(spark, sf)),
-        "trend": report.trend_lines(gold_role_trend(spark, sf)), "nothing": report.city_lines(nothing),
+    tables = build_all(*stored_boards(spark, sf, shared_folder(spark)))
+    nothing = tables["phan_bo_viec_lam"].where("TongCongViec < 0")
+    listed = {
+        "skills": report.skill_lines(tables["skil_DE_need"]), "seniority": report.seniority_lines(tables["hiring_seniority"]),
+        "cities": report.city_lines(tables["phan_bo_viec_lam"]), "data_roles": report.data_role_lines(tables["TheMostCVinData"]),
+        "trend": report.trend_lines(tables["Trend_hiring"]), "nothing": report.city_lines(nothing),
     }
-    parts = [df.select(F.lit(name).alias("list"), "text") for name, df in named.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("list"), "text") for name, df in listed.items()])
 
 
 @query
 def report_text(spark, sf):
-    """Cleaned rows stored once, then the seven aggregates and the text."""
-    folder = shared_folder(spark)
-    a = VersionedTable(spark, folder + "/a", CLEAN_A).write(cleaned_a(spark, sf))
-    b = VersionedTable(spark, folder + "/b", CLEAN_B).write(cleaned_b(spark, sf))
-    return report.report_text(build_all(a, b), DAY)
+    return report.report_text(build_all(*stored_boards(spark, sf, shared_folder(spark))), DAY)
 
 
 @query
@@ -785,7 +784,7 @@ def daily_run(spark, sf):
     rows = postings(spark, sf)
     folder = shared_folder(spark)
     return run_day(
-        spark, Layout(folder, "gold_" + folder.rpartition("-")[2].lower().replace("_", "x")), DAY,
+        spark, Layout(folder, namespace_of(folder)), DAY,
         raw_a=cards_a(card_markup_a(rows), BASE_URL),
         raw_b=cards_b(card_markup(rows), BASE_URL).where(F.col("box_type").isNotNull()),
         order_a=["scraped_at", "source_page", "slug"], order_b=["scraped_at", "source_page", "tracking_id"],
