@@ -9,6 +9,7 @@ def _fields(spec: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in spec.items()])
 
 
+# Column names and types of the stored tables, here and below.
 # Raw postings of board A (missing text is '') and board B (missing text is null).
 RAW_A = _fields({
     "job_id": _TEXT, "slug": _TEXT, "title": _TEXT, "job_url": _TEXT, "company_name": _TEXT,
