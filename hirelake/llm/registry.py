@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hirelake.llm import toxicity
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -17,8 +18,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
