@@ -226,9 +226,21 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
         rb = reps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
         return pairs.join(ra, "a").join(rb, "b").select("a", "b", "na", "nb", "ra", "rb")
 
-    star = members.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    star = with_registers(star).mapInArrow(_likely(plan), "a long, b long").distinct()
-    links = stored(_confirm(star, given, plan).distinct(), folder, "star-links")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        likely = with_registers(pairs).mapInArrow(_likely(plan), "a long, b long")
+        return _confirm(likely, given, plan)
+
+    # One pair a document, with the least leader of its buckets, joins most copies; then
+    # the leaders of other components.
+    beside = members.where("doc_id <> lead")
+    least = beside.groupBy("doc_id").agg(F.min("lead").alias("a")).select("a", F.col("doc_id").alias("b"))
+    links = stored(confirmed(least), folder, "least-links")
+    zero = stored(components(links, folder, "zero"), folder, "zero-components")
+    of = lambda c, out: zero.select(F.col("node").alias(c), F.col("component").alias(out))
+    star = beside.join(of("doc_id", "cd"), "doc_id", "left").join(of("lead", "cl"), "lead", "left")
+    star = star.where(F.coalesce("cd", "doc_id") != F.coalesce("cl", "lead")).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
+    star = star.distinct().join(least, ["a", "b"], "left_anti")
+    links = stored(links.union(confirmed(star)).distinct(), folder, "star-links")
     first = stored(components(links, folder, "first"), folder, "first-components")
 
     labelled = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
