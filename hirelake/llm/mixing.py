@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm.stored import stored, work_folder
+from hirelake.operators.stages import evaluated_once
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -190,8 +191,10 @@ def mixed_documents(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     ranges = pieces.where("pass is not null").groupBy("row", "pass").agg(
         F.array_sort(F.collect_list(F.struct("from", "to"))).alias("ranges"), F.sum(F.col("to") - F.col("from")).alias("n"), F.first("size").alias("of"),
     )
-    joined = rows.join(ranges, "row")
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    partial = F.when(F.col("n") < F.col("of"), F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)))
+    # Fixed before the lambda below reads it, which would else evaluate it for each range.
+    joined = evaluated_once(rows.join(ranges, "row").withColumn("mix_words", partial), "mix_words")
+    words = F.col("mix_words")
     some = F.transform(F.col("ranges"), lambda r: F.struct(
         r["from"].alias("from"), r["to"].alias("to"), F.array_join(F.slice(words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")), "").alias("text"),
     ))

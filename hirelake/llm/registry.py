@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import mixing, toxicity
+from hirelake.llm import linededup, mixing, toxicity
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -26,10 +26,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_repeats(documents(spark, sf_dir)).select("doc_id", "text", "n_runs", "removed_words", "removed_spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_toxicity": op8_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
