@@ -99,7 +99,8 @@ def draws(sources: DataFrame, plan: MixPlan) -> DataFrame:
 def slots(sources: DataFrame, plan: MixPlan, chunk: int = 4096) -> DataFrame:
     """(shard, slot, rank, pass, block, words): the block, or first words of it, that fills each slot."""
     parts = sources.where("n_draws > 0").select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_draws") - 1) / chunk))).alias("part"))
-    parts = parts.repartition("rank", "part")
+    # A fixed number of partitions: adaptive execution would put these few rows, which become many, in one task.
+    parts = parts.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "part")
     top = F.least((F.col("part") + 1) * chunk, F.col("n_draws")) - 1
     each = parts.select("*", F.explode(F.sequence(F.col("part") * chunk, top)).alias("draw"))
     each = each.withColumn("pass", F.floor(F.col("draw") / F.col("blocks"))).withColumn("turn", F.pmod("draw", F.col("blocks")))
@@ -163,9 +164,10 @@ def mix(docs: DataFrame, plan: MixPlan = MixPlan(), keep_text: bool = False) ->
     taken = slots(sources, plan)
     low = F.greatest(F.col("start"), F.col("block") * b)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * b + F.col("words"))
+    # Spark takes the slots for as few as the sources they are made from: merged, not broadcast.
     # least() passes over nulls, so a block that no slot takes needs its own test.
     hit = F.col("words").isNotNull() & (high > low)
-    pieces = parts.join(taken, ["rank", "block"], "left").select(
+    pieces = parts.join(taken.hint("merge"), ["rank", "block"], "left").select(
         "row", "size", F.when(hit, F.col("pass")).alias("pass"), F.when(hit, low - F.col("start")).alias("from"), F.when(hit, high - F.col("start")).alias("to"),
     )
     return rows, sources, taken, pieces

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import linededup, mixing, sentencepieces, toxicity
+from hirelake.llm import linededup, mixing, pii, sentencepieces, toxicity
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -18,6 +18,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(documents(spark, sf_dir), sentencepieces.load())
 
@@ -36,6 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_pii": op2_pii,
     "op3_sentencepiece": op3_sentencepiece,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_toxicity": op8_toxicity,
