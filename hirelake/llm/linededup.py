@@ -21,7 +21,8 @@ from hirelake.operators.stages import evaluated_once
 WORD = r"[^\x20\x09-\x0D]+"
 # A cut follows a line break, the first blank after a word that ends in a-g (by
 # letter, so by content) or in anything but a letter h-z, and ideographic full stops.
-CUT = r"(?<=\n)|(?<=[^h-zH-Z\x20\x09-\x0D][\x20\x09])|(?<=[。！？])"
+CUT = r"[^h-zH-Z\x20\x09-\x0D][\x20\x09]|\n|[。！？]"
+MARK = "\uffff"
 
 
 @dataclass(frozen=True)
@@ -43,41 +44,48 @@ class WinnowPlan:
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text with the white space that ends them; joined, they are the text."""
-    return F.split(text, CUT, -1)
-
-
-def _hashes(text: Column) -> Column:
-    return F.transform(lines(text), lambda x: F.hash(F.trim(F.translate(x, "\t\n\r\u000b\u000c", "     "))))
+    """The lines of a text with the blank or break that ends them; joined, they are the text (but for U+FFFF, read as a blank)."""
+    plain = F.when(F.contains(text, F.lit(MARK)), F.replace(text, F.lit(MARK), F.lit(" "))).otherwise(text)
+    return F.split(F.regexp_replace(plain, CUT, "$0" + MARK), MARK, -1)
 
 
 def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+#: Low bits of a packed pick hold its place; windows are far shorter, so a wrap is undone from the window's own place.
+PLACE = (1 << 24) - 1
+
+
 def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
-    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), p and fp (the picks).
+    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (words a line), p and fp (the picks).
 
     A pick is the least run hash of a window of `window` runs, leftmost on ties;
     the place moves on with the window, so distinct places are distinct picks.
+    Windows compare the hash's high bits, with the place below them.
     """
-    k = plan.gram
-    units = texts.where("text is not null and text <> ''").select(text_key(F.col("text")).alias("row"), "doc_id", _hashes(F.col("text")).alias("u"))
+    k, w = plan.gram, plan.window
+    given = texts.where("text is not null and text <> ''").select("doc_id", text_key(F.col("text")).alias("row"), lines(F.col("text")).alias("x"))
     # Columns that a lambda reads are fixed first; Spark would else put their expressions
     # into the lambda and evaluate them anew for each element.
-    units = evaluated_once(units, "u").where(F.size("u") >= k).groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"))
-    n = F.size("u") - (k - 1)
-    gram = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(*[F.element_at("u", i + j) for j in range(k)]))
-    units = units.withColumn("g", gram)
-    placed = F.transform("g", lambda h, i: F.struct(h.alias("fp"), i.alias("p")))
-    units = evaluated_once(units.withColumn("placed", placed), "placed", "g")
-    spans = F.sequence(F.lit(1), F.greatest(F.size("g") - plan.window + 1, F.lit(1)))
-    units = units.withColumn("p", F.array_distinct(F.transform(spans, lambda i: F.array_min(F.slice("placed", i, plan.window))["p"])))
-    return units.select("row", "doc_id", "u", "p", F.transform("p", lambda i: F.get("g", i)).alias("fp"))
+    given = evaluated_once(given.where(F.size("x") >= k).select("doc_id", "row", F.transform("x", lambda x: F.btrim(x, F.lit(" \t\n\r\u000b\u000c"))).alias("x")), "x")
+    units = given.select(
+        "doc_id", "row", F.transform("x", lambda x: F.hash(x)).alias("u"),
+        F.transform("x", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + F.when(x == "", 0).otherwise(1)).alias("n"),
+    )
+    units = units.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"), F.first("n").alias("n"))
+    gram = F.transform(F.sequence(F.lit(1), F.size("u") - (k - 1)), lambda i: F.xxhash64(*[F.element_at("u", i + j) for j in range(k)]))
+    units = evaluated_once(units.withColumn("g", gram), "g")
+    packed = F.transform("g", lambda h, i: h.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(PLACE))))
+    units = evaluated_once(units.withColumn("packed", packed), "packed")
+    spans = F.sequence(F.lit(0), F.greatest(F.size("g") - w, F.lit(0)))
+    place = lambda i: i + F.pmod(F.array_min(F.slice("packed", i + 1, w)).bitwiseAND(F.lit(PLACE)) - i, F.lit(PLACE + 1)).cast("int")
+    units = units.withColumn("p", F.array_distinct(F.transform(spans, place)))
+    return units.select("row", "doc_id", "u", "n", "p", F.transform("p", lambda i: F.get("g", i)).alias("fp"))
 
 
 def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str | None = None) -> DataFrame:
-    """(row, start, end, from_row, from_start): line runs of a distinct text that an earlier place has.
+    """(row, start, end, from_row, from_start): line runs of `min_words` words of a distinct text that an earlier place has.
 
     `texts` has doc_id and text; row is a text's key. Earlier means a smaller
     doc_id (null last), then a smaller key, then an earlier line; runs overlap
@@ -86,19 +94,26 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     folder = folder or work_folder(texts.sparkSession)
     k, reach = plan.gram, plan.reach
     units = stored(winnowed(texts, plan), folder, "units")
-    picks = units.select("row", "doc_id", F.explode(F.arrays_zip("fp", "p")).alias("x")).select("row", "doc_id", "x.fp", "x.p")
-    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "p")
+    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(3)), i >= 0, i + 3 <= F.size("u"))
+    total = lambda a, b: F.aggregate(F.slice("n", F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0))), F.lit(0), lambda t, x: t + x)
+    each = F.transform(F.arrays_zip("fp", "p"), lambda x: F.struct(
+        x["fp"].alias("fp"), x["p"].alias("p"), beside(x["p"] - 3).alias("l"), beside(x["p"] + k).alias("r"), (total(x["p"] - 2, x["p"] + k + 2) >= plan.min_words).alias("big")))
+    picks = units.select("row", "doc_id", F.explode(each).alias("x")).select("row", "doc_id", "x.*")
+    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "p", "l", "r")
     first = picks.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1")
-    first = stored(first.select("fp", F.col("first.row").alias("row0"), F.col("first.p").alias("p0")), folder, "first")
+    first = first.select("fp", F.col("first.row").alias("row0"), F.col("first.p").alias("p0"), F.col("first.l").alias("l0"), F.col("first.r").alias("r0"))
+    # A run that goes neither three lines on to the left of a pick nor to its right lies
+    # within two lines of it; where those have too few words the pick needs no look.
+    hits = picks.join(first, "fp").where("not (row = row0 and p = p0) and (l = l0 or r = r0 or big)").select("row", "fp", "p", "row0", "p0")
+    hits = stored(hits, folder, "hits")
     # Around each earliest place: the lines within reach on both sides.
-    asked = first.groupBy("row0").agg(F.collect_list(F.struct("fp", "p0")).alias("asks"))
+    asked = hits.select("fp", "row0", "p0").distinct().groupBy("row0").agg(F.collect_list(F.struct("fp", "p0")).alias("asks"))
     around = asked.join(units.select(F.col("row").alias("row0"), "u"), "row0")
     low = lambda p: F.greatest(p - reach, F.lit(0))
-    around = around.select("row0", F.explode(F.transform("asks", lambda a: F.struct(
-        a["fp"].alias("fp"), a["p0"].alias("p0"), low(a["p0"]).alias("low"),
-        F.slice("u", low(a["p0"]) + 1, a["p0"] - low(a["p0"]) + k + reach).alias("near"),
-    ))).alias("a")).select("row0", "a.*")
-    hits = picks.select("row", "fp", "p").join(around, "fp").where("not (row = row0 and p = p0)")
+    around = around.select(F.explode(F.transform("asks", lambda a: F.struct(
+        a["fp"].alias("fp"), low(a["p0"]).alias("low"), F.slice("u", low(a["p0"]) + 1, a["p0"] - low(a["p0"]) + k + reach).alias("near"),
+    ))).alias("a")).select("a.*")
+    hits = hits.join(around, "fp")
     # One group is one text's picks, so it is as long as the text itself.
     hits = hits.groupBy("row").agg(F.collect_list(F.struct("p", "row0", "p0", "low", "near")).alias("hits"))
     hits = hits.join(units.select("row", "u"), "row")
@@ -116,7 +131,8 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     def spread(hit: Column) -> Column:
         left, right = equal_until(hit, before, -1, 0), equal_until(hit, after, 1, k)
         left, right = (F.when(x < 0, s).otherwise(x) for x, s in ((left, F.lit(reach)), (right, F.lit(reach))))
-        return F.struct(hit["row0"].alias("row0"), (hit["p"] - hit["p0"]).alias("shift"), (hit["p"] - left).alias("start"), (hit["p"] + k + right).alias("end"))
+        start, end = hit["p"] - left, hit["p"] + k + right
+        return F.struct(hit["row0"].alias("row0"), (hit["p"] - hit["p0"]).alias("shift"), start.alias("start"), end.alias("end"))
 
     # The lines of the pick itself are compared too: equal hashes of runs are checked.
     true_hits = F.filter("hits", lambda h: F.forall(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("u", h["p"] + i) == F.get(h["near"], h["p0"] - h["low"] + i)))
@@ -126,6 +142,10 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     runs = runs.withColumn("reached", F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1)))
     runs = runs.withColumn("no", F.sum(F.when(F.col("reached") >= F.col("start"), 0).otherwise(1)).over(along))
     runs = runs.groupBy("row", "row0", "shift", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    # Too short ones go before any text is touched; `n` may count a word more where blanks are doubled, never less.
+    sized = runs.groupBy("row").agg(F.collect_list(F.struct("row0", "shift", "start", "end")).alias("rs")).join(units.select("row", "n"), "row")
+    sized = sized.select("row", F.explode(F.filter("rs", lambda r: total(r["start"], r["end"]) >= plan.min_words)).alias("r"))
+    runs = sized.select("row", "r.*")
     return runs.select("row", "start", "end", F.col("row0").alias("from_row"), (F.col("start") - F.col("shift")).alias("from_start"))
 
 

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.llm.linededup import CUT, WinnowPlan, repeated_runs, text_key, without_repeats
+from hirelake.llm.linededup import CUT, WinnowPlan, lines, repeated_runs, text_key, without_repeats
 
 SCHEMA = "doc_id long, text string, lang string, n_runs string, row string"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,10 +65,10 @@ def test_planted_passages(spark, planted):
 
 def test_every_long_run_of_lines_is_found(spark, planted):
     docs, _ = planted
-    plan = WinnowPlan()
+    plan = WinnowPlan(min_words=1)
     found = repeated_runs(spark.createDataFrame([(i, t) for i, t in docs.items()], "doc_id long, text string"), plan).collect()
     keys = {r.k: r.doc_id for r in spark.createDataFrame(list(docs.items()), "doc_id long, text string").orderBy(F.desc("doc_id")).select("doc_id", text_key(F.col("text")).alias("k")).collect()}
-    units = {i: [x.strip() for x in re.split(CUT, t)] for i, t in docs.items()}
+    units = {i: [x.strip() for x in re.sub("(" + CUT + ")", "\\1\uffff", t).split("\uffff")] for i, t in docs.items()}
     covered = {}
     for r in found:
         me, other = units[keys[r.row]], units[keys[r.from_row]]
@@ -92,6 +92,12 @@ def test_long_periodic_and_empty(spark):
     assert empty.collect() == [] and empty.columns == ["doc_id", "text", "n_runs", "removed_words", "removed_spans"]
 
 
+def test_lines_join_to_the_text(spark):
+    texts = ["a b c  d\n\ne. f", "x\uffffy a b", "", "。。a！b", "\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines(F.col("t")).alias("x")).collect()
+    assert all("".join(r.x) == r.t.replace("\uffff", " ") for r in rows)
+
+
 def test_native_plan(spark, planted):
     df = without_repeats(spark.createDataFrame(rows_of(planted[0]), SCHEMA))
     assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
