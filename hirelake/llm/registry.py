@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import linededup, mixing, pii, sentencepieces, toxicity, wrappers
+from hirelake.llm import linededup, mixing, pii, pqdedup, sentencepieces, srsearch, toxicity, wrappers
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -26,6 +26,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(documents(spark, sf_dir), sentencepieces.load())
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pqdedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -42,13 +46,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.without_repeats(documents(spark, sf_dir)).select("doc_id", "text", "n_runs", "removed_words", "removed_spans")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return srsearch.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii": op2_pii,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op6_html_main_text": op6_html_main_text,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_line_dedup": op10_line_dedup,
 }
 
