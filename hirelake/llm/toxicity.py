@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.wordhash import BACK, LOWER_VALUE, STEP, U64, mix, text_slices, words
+from hirelake.llm.wordhash import BACK, LOWER_VALUE, STEP, U64, mix, text_slices, word_hashes, words
 
 
 @dataclass(frozen=True)
@@ -134,25 +134,34 @@ def fit(texts: list[str], labels: np.ndarray, plan: ToxicPlan) -> ToxicModel:
     flat = np.zeros(plan.buckets, np.float32)
     if len(set(y.tolist())) < 2:
         return ToxicModel(flat, 0.0, 1.0, 20.0 if len(y) and y[0] else -20.0)
-    data = np.frombuffer("\n".join(texts).encode(), np.uint8)
-    sizes = [len(t.encode()) + 1 for t in texts]
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    offsets[-1] = len(data)
-    starts, ends, doc = words(data, offsets)
     n = len(texts)
-    # Distinct words once: (type of each word, grams of each type).
-    up = np.full(len(data), STEP, np.uint64)
-    down = np.full(len(data), BACK, np.uint64)
-    up[0] = down[0] = 1
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(LOWER_VALUE[data] * np.multiply.accumulate(up))])
-    h = (run[ends] - run[starts]) * np.multiply.accumulate(down)[starts] + (ends - starts).astype(np.uint64)
-    _, sample_at, kind = np.unique(h, return_index=True, return_inverse=True)
-    del up, down, run, h
-    pairs = [(w, b) for w, b in word_grams(data, starts[sample_at], ends[sample_at], plan)]
-    who = np.concatenate([w for w, _ in pairs])
+    # A slice at a time, so that only words' numbers and the distinct words' bytes are kept.
+    docs, hashes, known, kept = [], [], np.zeros(0, np.uint64), []
+    for at, _, data, offsets in text_slices(pa.array(texts), 1 << 19):
+        starts, ends, doc = words(data, offsets)
+        h = word_hashes(data, starts, ends)
+        docs.append((doc + at).astype(np.int32))
+        hashes.append(h)
+        fresh, where = np.unique(h, return_index=True)
+        new = ~np.isin(fresh, known)
+        known = np.union1d(known, fresh[new])
+        kept += [(int(k), data[starts[i]:ends[i]].tobytes()) for k, i in zip(fresh[new], where[new])]
+    doc = np.concatenate(docs)
+    kinds, kind = np.unique(np.concatenate(hashes), return_inverse=True)
+    kind = kind.astype(np.int32)
+    kept.sort()
+    del hashes, known
+    whos, buckets = [], []
+    for at, _, data, offsets in text_slices(pa.array([w.decode("utf-8", "replace") for _, w in kept]), 1 << 19):
+        for w, b in word_grams(data, offsets[:-1], offsets[1:], plan):
+            whos.append((w + at).astype(np.int32))
+            buckets.append(b.astype(np.int32))
+    who, bucket = np.concatenate(whos), np.concatenate(buckets)
     order = np.argsort(who, kind="stable")
-    who, bucket = who[order], np.concatenate([b for _, b in pairs])[order]
-    n_grams = np.bincount(who, minlength=len(sample_at))
+    who, bucket = who[order], bucket[order]
+    n_types = len(kinds)
+    del whos, buckets, order, kept
+    n_grams = np.bincount(who, minlength=n_types)
     gram_at = np.concatenate([[0], np.cumsum(n_grams)])
 
     def type_scores(gram: np.ndarray) -> np.ndarray:
