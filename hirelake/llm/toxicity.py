@@ -153,23 +153,31 @@ def fit(texts: list[str], labels: np.ndarray, plan: ToxicPlan) -> ToxicModel:
     del hashes, known
     whos, buckets = [], []
     for at, _, data, offsets in text_slices(pa.array([w.decode("utf-8", "replace") for _, w in kept]), 1 << 19):
-        for w, b in word_grams(data, offsets[:-1], offsets[1:], plan):
-            whos.append((w + at).astype(np.int32))
-            buckets.append(b.astype(np.int32))
+        parts = [((w + at).astype(np.int32), b.astype(np.int32)) for w, b in word_grams(data, offsets[:-1], offsets[1:], plan)]
+        w, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        order = np.argsort(w, kind="stable")
+        whos.append(w[order])
+        buckets.append(b[order])
     who, bucket = np.concatenate(whos), np.concatenate(buckets)
-    order = np.argsort(who, kind="stable")
-    who, bucket = who[order], bucket[order]
     n_types = len(kinds)
-    del whos, buckets, order, kept
+    del whos, buckets, kept
     n_grams = np.bincount(who, minlength=n_types)
     gram_at = np.concatenate([[0], np.cumsum(n_grams)])
 
     def type_scores(gram: np.ndarray) -> np.ndarray:
-        return np.bincount(who, gram[bucket], len(n_grams)) / np.maximum(n_grams, 1)
-
-    seen = np.unique(doc.astype(np.int64) * len(n_grams) + kind)
-    seen_doc, seen_kind = seen // len(n_grams), seen % len(n_grams)
-    by_class = [np.bincount(bucket, np.bincount(seen_kind[y[seen_doc] == c], minlength=len(n_grams))[who], plan.buckets) for c in (0, 1)]
+        total = np.zeros(n_types)
+        for at in range(0, len(who), 1 << 19):
+            part = who[at:at + (1 << 19)]
+            total[part[0]:part[-1] + 1] += np.bincount(part - part[0], gram[bucket[at:at + (1 << 19)]])
+        return total / np.maximum(n_grams, 1)
+
+    seen = np.unique(doc.astype(np.int64) * n_types + kind)
+    seen_doc, seen_kind = seen // n_types, (seen % n_types).astype(np.int32)
+    by_class = []
+    for c in (0, 1):
+        in_docs = np.bincount(seen_kind[y[seen_doc] == c], minlength=n_types)
+        by_class.append(sum(np.bincount(bucket[a:a + (1 << 19)], in_docs[who[a:a + (1 << 19)]], plan.buckets) for a in range(0, len(who), 1 << 19)))
+    del seen, seen_doc, seen_kind
     gram = np.log((by_class[1] + 1) / (y.sum() + 2)) - np.log((by_class[0] + 1) / ((1 - y).sum() + 2))
     first, end = windows(doc, n, plan.window)
     own = doc[first]
