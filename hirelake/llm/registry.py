@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import linededup, mixing, pii, pqdedup, sentencepieces, srsearch, toxicity, wrappers
+from hirelake.llm import kneserney, linededup, mixing, pii, pqdedup, sentencepieces, srsearch, toxicity, wrappers
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -30,6 +30,10 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pqdedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_quality": op5_quality,
     "op6_html_main_text": op6_html_main_text,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_toxicity": op8_toxicity,
