@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,8 @@ def session(cpus: int) -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", str(cpus)).config("spark.sql.session.timeZone", "UTC")
+        .config("spark.hirelake.verification.partitions", str(cpus))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hirelake-bench-"))
         .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.log.level", "ERROR")
         .getOrCreate()

@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.text import has_phrase
 
-# Beyond this many phrases the mapping belongs in a table; see
-# hirelake.operators.phrases.roles_from_table.
-MAX_INLINE_PHRASES = 500
-
-
 class Role(NamedTuple):
     name: str
     group: str
@@ -65,9 +60,11 @@ def _distinct_present(values: list[Column]) -> Column:
 
 
 def roles_in_text(padded: Column, roles: list[Role] = ROLES) -> Column:
-    """Distinct role names in the text, by mapping priority."""
-    if sum(len(r.phrases) for r in roles) > MAX_INLINE_PHRASES:
-        raise ValueError("mapping too large for inline expressions; use roles_from_table")
+    """Distinct role names in the text, by mapping priority.
+
+    One test a phrase, whatever their number; a mapping of thousands is faster as
+    a table, see hirelake.operators.phrases.roles_from_table.
+    """
     return _distinct_present([F.when(has_phrase(padded, r.phrases), F.lit(r.name)) for r in roles])
 
 

@@ -27,7 +27,8 @@ def enrich(
     """One output row per input row: ``fn(row, session)`` as a dict.
 
     A row whose call raises gets the key, the `defaults` and the message in
-    `error_column`; its partition goes on. `open_session` runs once per task and
+    `error_column`; so does a row whose answer leaves a non-null field of `schema`
+    null (give `defaults` for such fields). Its partition goes on. `open_session` runs once per task and
     its result is closed at the end if it has a `close` method. `partitions`
     spreads the rows round-robin first, for calls much slower than the scan;
     round-robin takes no key, so no key can make one task heavy.
@@ -40,7 +41,12 @@ def enrich(
         message = {error_column: str(error)} if error_column else {}
         return {**base, key: row[key], **message}
 
+    required = [f.name for f in schema if not f.nullable]
+
     def pack(rows: list[dict]) -> pa.RecordBatch:
+        for n in required:
+            if any(r[n] is None for r in rows):
+                raise ValueError(f"required field {n} is null")
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

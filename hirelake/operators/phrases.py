@@ -10,26 +10,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import phrase_text
+from hirelake.operators.stages import evaluated_once
 
 
-def word_runs(text, longest: int):
-    """Distinct runs of 1 to `longest` words of a `phrase_text` column."""
-    words = F.split(F.trim(text), " ")
-    return F.array_distinct(F.flatten(F.transform(words, lambda _, i: F.array(
-        *[F.array_join(F.slice(words, i + 1, n), " ") for n in range(1, longest + 1)]
-    ))))
+def word_runs(words, lengths: list[int]):
+    """Distinct runs of the given numbers of words of an array of words."""
+    return F.array_distinct(F.flatten(F.array(*[
+        F.when(F.size(words) >= n, _runs_of(words, n)).otherwise(F.array().cast("array<string>"))
+        for n in lengths
+    ])))
 
 
-def roles_from_table(df: DataFrame, text: str, mapping: DataFrame, longest: int = 5) -> DataFrame:
+def _runs_of(words, n: int):
+    return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+
+
+def roles_from_table(df: DataFrame, text: str, mapping: DataFrame) -> DataFrame:
     """Roles of each distinct text: (text, roles) with roles by priority.
 
     `mapping` has phrase (as in `phrase_text`, trimmed), role and priority.
-    `longest` is the word count of the longest phrase. The text is made distinct
+    Only runs of as many words as some phrase has are made, whatever that number
+    is (the distinct numbers, a few integers, are read first). The text is made distinct
     first, so a title shared by a third of all postings is looked up once; the
     grouping is by text and merges partial sets before its shuffle.
     """
     texts = df.select(text).where(F.col(text).isNotNull()).distinct()
-    runs = texts.withColumn("phrase", F.explode(word_runs(phrase_text(F.col(text)), longest)))
+    lengths = [r.n for r in mapping.select(F.size(F.split(F.trim("phrase"), " +")).alias("n")).distinct().collect()]
+    if not lengths:
+        return texts.limit(0).withColumn("roles", F.array().cast("array<string>"))
+    # Fixed before the runs' lambdas read it, which would else split the text for each.
+    words = evaluated_once(texts.withColumn("_words", F.split(F.trim(phrase_text(F.col(text))), " ")), "_words")
+    runs = words.select(text, F.explode(word_runs(F.col("_words"), sorted(lengths))).alias("phrase"))
     found = runs.join(mapping.select("phrase", "role", "priority"), "phrase")
     ranked = found.groupBy(text, "role").agg(F.min("priority").alias("priority"))
     return ranked.groupBy(text).agg(
@@ -39,7 +50,7 @@ def roles_from_table(df: DataFrame, text: str, mapping: DataFrame, longest: int
 
 def group_from_table(df: DataFrame, groups: DataFrame, role: str = "primary_role") -> DataFrame:
     """Add role_group from a (role, role_group) table; unknown roles get 'Other'."""
-    joined = df.join(groups.select(F.col("role").alias(role), "role_group"), role, "left")
-    return joined.withColumn(
-        "role_group", F.when(F.col(role).isNotNull(), F.coalesce("role_group", F.lit("Other")))
-    )
+    # Null roles stay out of the join, where they would meet in one task.
+    named = df.where(F.col(role).isNotNull()).join(groups.select(F.col("role").alias(role), "role_group"), role, "left")
+    rest = df.where(F.col(role).isNull()).withColumn("role_group", F.lit(None).cast("string"))
+    return named.withColumn("role_group", F.coalesce("role_group", F.lit("Other"))).unionByName(rest)

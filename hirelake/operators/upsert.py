@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hirelake.operators.dedup import keep_latest
 from hirelake.sources.versioned import VersionedTable
 
 
@@ -29,10 +33,22 @@ def upserted(target: DataFrame, rows: DataFrame, key: str = "job_id") -> DataFra
     return target.join(rows.select(key), key, "left_anti").unionByName(rows)
 
 
-def upsert_version(table: VersionedTable, rows: DataFrame, key: str = "job_id") -> DataFrame:
+def newest(target: DataFrame, rows: DataFrame, order: list[str], key: str = "job_id") -> DataFrame:
+    """Of target and new rows the latest of each key by `order`; a new row wins a tie, null keys all stay."""
+    both = target.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    keyed = keep_latest(both.where(F.col(key).isNotNull()), key, [*order, "_new"])
+    return keyed.unionByName(both.where(F.col(key).isNull())).drop("_new")
+
+
+def upsert_version(table: VersionedTable, rows: DataFrame, key: str = "job_id", order: list[str] | None = None) -> DataFrame:
     """Write the upserted rows as the table's next version.
 
-    `rows` is planned twice (anti-join side and union side): hand in a stored
-    or persisted frame when it is costly or not deterministic.
+    `rows` is stored first and read back for both sides of the join, so a costly
+    or non-deterministic plan (an enrichment) runs once. With `order` a key's row
+    is replaced only by one that is as late or later; without, by any, as in MERGE.
     """
-    return table.write(upserted(table.read(), rows.select(*table.schema.fieldNames()), key))
+    staged = table.stage(rows.select(*table.schema.fieldNames()), uuid.uuid4().hex)
+    merged = newest(table.read(), staged, order, key) if order else upserted(table.read(), staged, key)
+    out = table.write(merged)
+    table.retire()
+    return out

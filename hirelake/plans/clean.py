@@ -19,7 +19,7 @@ LATEST = ["scraped_at", "source_page"]
 def total_order(df: DataFrame, order: list[str] | None) -> list[str]:
     """The given order, else crawl time and page with all other columns as tie-breaks.
 
-    A total order makes the kept row the same when a lost task runs again. Give
+    Crawl times are compared as instants, unreadable ones before all others. A total order makes the kept row the same when a lost task runs again. Give
     a short one that is unique per job where you have it: fewer columns are read.
     """
     return order or [*LATEST, *[c for c in df.columns if c not in (*LATEST, "job_id")]]
@@ -37,13 +37,14 @@ def clean_a(raw: DataFrame, order: list[str] | None = None, zone: str | None = N
     Rows without job_id cannot be upserted and are left out. Duplicates go
     before the parsing, which then runs once per job.
     """
-    latest = keep_latest(raw.where(F.col("job_id").isNotNull()), "job_id", total_order(raw, order))
-    return _timed(latest, zone).transform(parse_freeform_salary("salary")).select(*CLEAN_A.fieldNames())
+    timed = _timed(raw.where(F.col("job_id").isNotNull()), zone)
+    latest = keep_latest(timed, "job_id", total_order(raw, order))
+    return latest.transform(parse_freeform_salary("salary")).select(*CLEAN_A.fieldNames())
 
 
 def clean_b(raw: DataFrame, order: list[str] | None = None, zone: str | None = None) -> DataFrame:
     """Board B: latest row per job, token salary, classification, 22 columns."""
     keyed = raw.withColumn("job_id", F.col("job_id").cast("string")).where(F.col("job_id").isNotNull())
-    latest = _timed(keep_latest(keyed, "job_id", total_order(raw, order)), zone)
+    latest = keep_latest(_timed(keyed, zone), "job_id", total_order(raw, order))
     parsed = latest.transform(parse_salary("salary")).transform(flatten_salary())
     return classify(parsed).select(*CLEAN_B.fieldNames())

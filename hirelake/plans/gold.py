@@ -41,7 +41,7 @@ def top_skills(postings_a: DataFrame, k: int = TOP_SKILLS) -> DataFrame:
 def seniority_counts(postings_b: DataFrame) -> DataFrame:
     return (
         postings_b.filter(F.col("seniority").isNotNull()).groupBy("seniority")
-        .agg(F.count(F.lit(1)).alias("total_jobs")).orderBy(F.desc("total_jobs"), F.asc("seniority"))
+        .agg(F.count(F.lit(1)).alias("total_jobs"))
     )
 
 
@@ -57,9 +57,7 @@ def average_salary(postings_b: DataFrame, rate: float = USD_TO_VND) -> DataFrame
 
 
 def city_counts(postings_b: DataFrame) -> DataFrame:
-    return postings_b.groupBy("city").agg(F.count("job_id").alias("TongCongViec")).orderBy(
-        F.desc("TongCongViec"), F.asc("city")
-    )
+    return postings_b.groupBy("city").agg(F.count("job_id").alias("TongCongViec"))
 
 
 def rounded_average(value: Column, places: int) -> Column:
@@ -75,15 +73,12 @@ def data_roles(postings_b: DataFrame) -> DataFrame:
         .groupBy("primary_role")
         .agg(rounded_average(F.col("experience_years"), 1).alias("avg_experience_years"),
              F.count(F.lit(1)).alias("total_jobs"))
-        .orderBy(F.desc("total_jobs"), F.asc("primary_role"))
     )
 
 
 def role_trend(postings_b: DataFrame) -> DataFrame:
     """Postings by role; the null role is a row that counts 0."""
-    return postings_b.groupBy("primary_role").agg(F.count("primary_role").alias("TongSoTuyenDung")).orderBy(
-        F.desc("TongSoTuyenDung"), F.asc("primary_role")
-    )
+    return postings_b.groupBy("primary_role").agg(F.count("primary_role").alias("TongSoTuyenDung"))
 
 
 # Table aliases, each with its board and model.

@@ -26,11 +26,11 @@ def write_csv(df: DataFrame, path: str, byte_order_mark: bool = True) -> None:
     out.write.options(**_DIALECT, **keep).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read an export back to the typed raw schema.
 
-    `multi_line` is only needed when values hold line breaks; it stops Spark
-    from splitting files.
+    `multi_line` keeps values with line breaks whole, and lets Spark read a file in one
+    task only; turn it off for large files whose values are known to hold none.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS])
     rows = spark.read.options(**_DIALECT, enforceSchema=True, multiLine=multi_line).schema(text).csv(path)

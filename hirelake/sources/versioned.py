@@ -34,6 +34,23 @@ class VersionedTable:
         committed, _ = self._listing()
         return committed[-1] if committed else None
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` stored beside the versions, as read back; gone with the next `retire`."""
+        path = f"{self.root}/stage-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def retire(self, keep: int = 2) -> None:
+        """Delete staged rows and all versions but the last `keep` committed ones, which a running reader may hold."""
+        committed, found = self._listing()
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = [self._folder(v) for v in found if v not in committed[-keep:]]
+        staged = [s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().startswith("stage-")]
+        for folder in old + staged:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+
     def read(self) -> DataFrame:
         """Current rows; an empty frame before the first write."""
         version = self.current_version()

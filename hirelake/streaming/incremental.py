@@ -22,10 +22,13 @@ def upsert_new_snapshots(
     key: str = "job_id",
     prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     files_per_batch: int | None = None,
+    compare: bool = True,
 ) -> DataFrame:
     """Read files not seen by this checkpoint, upsert them, return the table.
 
-    A batch that is replayed after a failure upserts the same keys again and
+    A key's row in the table gives way only to one that is as late by `order`, so
+    files may come late or out of turn; `compare=False` lets the last file win, as a
+    plain MERGE does (the table then need not have the order's columns). A batch that is replayed after a failure upserts the same keys again and
     ends in the same state. `prepare` turns raw rows into table rows after the
     dedup (for example `clean_b`'s parsing).
     """
@@ -35,7 +38,7 @@ def upsert_new_snapshots(
 
     def upsert_batch(rows: DataFrame, _: int) -> None:
         unique = keep_latest(rows.where(rows[key].isNotNull()), key, order)
-        upsert_version(table, prepare(unique), key)
+        upsert_version(table, prepare(unique), key, order if compare else None)
 
     query = (
         reader.parquet(snapshots).writeStream.foreachBatch(upsert_batch)

@@ -150,3 +150,13 @@ def test_prompt_record_keeps_nulls_and_characters(spark):
     assert df.select(prompt_record(df).alias("r")).first().r == (
         '{"job_id":"1","title":"Kỹ sư","remaining_tags":["a"],"visible_tags":[],"experience":null}'
     )
+
+
+def test_mapping_phrases_of_any_length_and_number(spark):
+    long = "chuyên viên phân tích dữ liệu cao cấp"
+    many = [(f"phrase {i}", f"Role {i}", i) for i in range(5_000)] + [(long, "Analyst", 9_000)]
+    mapping = spark.createDataFrame(many, "phrase string, role string, priority int")
+    df = spark.createDataFrame([("Tuyển " + long.upper() + " gấp",), ("a phrase 4999 here",), ("nothing",), (None,)], "title string")
+    assert {r.title: r.roles for r in roles_from_table(df, "title", mapping).collect()} == {
+        "Tuyển " + long.upper() + " gấp": ["Analyst"], "a phrase 4999 here": ["Role 4999"]}
+    assert roles_from_table(df, "title", mapping.limit(0)).collect() == []

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import random
 
 import pytest
@@ -14,6 +15,7 @@ from hirelake.operators.stages import evaluated_once
 from hirelake.operators.profile import value_frequency
 from hirelake.operators.upsert import merge_sql, upsert_version, upserted
 from hirelake.plans import gold, report
+from hirelake.plans.clean import clean_a
 from hirelake.plans.daily import Layout, run_day
 from hirelake.schemas import CLEAN_A, RAW_A, RAW_B
 from hirelake.sources.csv_export import read_csv, write_csv
@@ -238,11 +240,48 @@ def test_incremental_reads_each_file_once(spark):
         seen.append(df.count())
         return df
 
-    def run():
-        return rows(upsert_new_snapshots(spark, folder + "/raw", schema, table, folder + "/c", ["v"], prepare=prepare))
+    def run(compare=True):
+        return rows(upsert_new_snapshots(spark, folder + "/raw", schema, table, folder + "/c", ["v"], prepare=prepare, compare=compare))
 
     write_snapshot(spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], KV), folder + "/raw", DAY)
     assert run() == [("a", 2)]
+    # A file that comes late does not take back a later row, unless asked to win as in MERGE.
     write_snapshot(spark.createDataFrame([("a", 1), ("b", 1)], KV), folder + "/raw", DAY + dt.timedelta(days=1))
-    assert run() == [("a", 1), ("b", 1)]
-    assert run() == [("a", 1), ("b", 1)] and seen == [1, 2]
+    assert run() == [("a", 2), ("b", 1)]
+    assert run() == [("a", 2), ("b", 1)] and seen == [1, 2]
+    write_snapshot(spark.createDataFrame([("a", 0)], KV), folder + "/raw", DAY - dt.timedelta(days=1))
+    assert run(compare=False) == [("a", 0), ("b", 1)]
+
+
+def test_upsert_runs_a_costly_source_once_and_retires_versions(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def answer(row, _):
+        calls.add(1)
+        return {"v": row["v"] + 1}
+
+    folder = shared_folder(spark)
+    schema = spark.createDataFrame([], KV).schema
+    table = VersionedTable(spark, folder, schema)
+    for day in range(4):
+        given = spark.createDataFrame([(f"k{i}", day) for i in range(50)], KV)
+        upsert_version(table, enrich(given, answer, schema))
+    assert calls.value == 200 and {r[1] for r in rows(table.read())} == {4}
+    left = sorted(p.name for p in pathlib.Path(folder.removeprefix("file:")).iterdir() if p.is_dir())
+    assert left == ["v00000003", "v00000004"]
+
+
+def test_a_null_in_a_required_field_becomes_an_error_row(spark):
+    out_schema = T.StructType([T.StructField("job_id", T.StringType(), False), T.StructField("v", T.LongType(), False), T.StructField("e", T.StringType())])
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], KV)
+    got = enrich(df, lambda row, _: {"v": None if row["v"] == 2 else row["v"]}, out_schema, defaults={"v": -1}, error_column="e").collect()
+    assert sorted((r.job_id, r.v, r.e is None) for r in got) == [("a", 1, True), ("b", -1, False), ("c", 3, True)]
+
+
+def test_latest_is_by_instant_not_by_text(spark):
+    times = ["2024-03-07T09:00:00+07:00", "2024-03-07T05:00:00+00:00", "not a time", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(times)], "scraped_at string, i int").withColumn("job_id", F.lit("j"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_A if f.name not in ("job_id", "scraped_at", "source_page")]
+    raw = df.select("job_id", "scraped_at", F.col("i").cast("bigint").alias("source_page"), *blank)
+    row = clean_a(raw).first()
+    assert str(row.scraped_at) == "2024-03-07 05:00:00"

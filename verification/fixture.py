@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.operators.partitioning import spread_small
-
 TABLES = ["lineitem", "orders", "customer", "nation", "part"]
 LINE_IDENTITY = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
 ORDER = ["scraped_at", "source_page", "position"]  # unique within a job_id
@@ -92,11 +90,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows out by a row identity, where the session asks for it.
+
+    The given files are one row group each, so one task would read all of it. Only a
+    session that sets spark.hirelake.verification.partitions (bench.py, the tests) shuffles.
+    """
+    asked = df.sparkSession.conf.get("spark.hirelake.verification.partitions", None)
+    return df.repartition(int(asked), *keys) if asked else df
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole fixture; Spark prunes the columns and joins no query asks for."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES}
-    # The driver's lineitem is one row group, so one task would do all the work.
-    frames["lineitem"] = spread_small(frames["lineitem"], *LINE_IDENTITY)
+    frames["lineitem"] = spread(frames["lineitem"], *LINE_IDENTITY)
     return spark.sql(POSTINGS_SQL, **frames)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from hirelake.functions.roles import GROUP_PHRASES, ROLES
 from hirelake.functions.salary_freeform import NO_NUMBER_PHRASES
 from hirelake.functions.seniority import LEVEL_PHRASES
@@ -510,7 +512,7 @@ def _text_of(name: str) -> str:
     return f"(SELECT text FROM lists WHERE list = '{name}')"
 
 
-oracle("report_text", ["lists", "g_career", "g_salary"], f"""
+REPORT_SQL = f"""
 SELECT '📊 **BÁO CÁO TUYỂN DỤNG IT — 07/03/2024**' || chr(10) || chr(10) ||
   '🆕 [Data Engineer] Tổng số tin tuyển dụng: **' || (SELECT NumberofDataEngineer FROM g_career) || '**' || chr(10) || chr(10) ||
   '🛠️ [Data Engineer] Top kỹ năng được yêu cầu nhiều nhất:' || chr(10) || {_text_of('skills')} || chr(10) || chr(10) ||
@@ -518,5 +520,32 @@ SELECT '📊 **BÁO CÁO TUYỂN DỤNG IT — 07/03/2024**' || chr(10) || chr(1
   '💰 [Toàn ngành IT] Lương trung bình (VNĐ): **' || (SELECT format('{{:,.0f}} — {{:,.0f}}', LUONG_TRUNG_BINH_MIN, LUONG_TRUNG_BINH_MAX) FROM g_salary) || '**' || chr(10) || chr(10) ||
   '📍 [Toàn ngành IT] Top 5 thành phố nhiều tin tuyển dụng nhất:' || chr(10) || {_text_of('cities')} || chr(10) || chr(10) ||
   '📈 [Toàn ngành IT] Top vị trí liên quan Data (theo số tin & KN trung bình):' || chr(10) || {_text_of('data_roles')} || chr(10) || chr(10) ||
-  '🔥 [Toàn ngành IT] Xu hướng tuyển dụng theo vị trí:' || chr(10) || {_text_of('trend')} || chr(10) AS report""")
-ORACLES["daily_run"] = ORACLES["report_text"]
+  '🔥 [Toàn ngành IT] Xu hướng tuyển dụng theo vị trí:' || chr(10) || {_text_of('trend')} || chr(10) AS report"""
+oracle("report_text", ["lists", "g_career", "g_salary"], REPORT_SQL)
+
+# Board B of the daily run also has the bare cards: the same definitions on more postings.
+cte("postings_of_b", ["postings"], """
+SELECT * FROM postings UNION ALL
+SELECT * REPLACE ('bare-' || job_id AS job_id, CAST(NULL AS VARCHAR) AS experience, CAST([] AS VARCHAR[]) AS visible_tags,
+  CAST(NULL AS VARCHAR) AS remaining_tags, CAST(NULL AS VARCHAR) AS city) FROM postings WHERE position % 3 = 0""")
+_BOARD_A = {"g_career", "g_skills"}
+
+
+def on_board_b(name: str) -> str:
+    """Define `name` and what it needs once more over board B's postings; returns the new name."""
+    if name == "postings":
+        return "postings_of_b"
+    if name in _BOARD_A:
+        return name
+    new = f"{name}_of_b"
+    if new not in CTES:
+        needs = {n: on_board_b(n) for n in NEEDS[name]}
+        sql = CTES[name]
+        for old, other in needs.items():
+            sql = re.sub(rf"\b{old}\b", other, sql)
+        cte(new, list(needs.values()), sql)
+    return new
+
+
+_lists, _salary = on_board_b("lists"), on_board_b("g_salary")
+oracle("daily_run", [_lists, "g_career", _salary], re.sub(r"\bg_salary\b", _salary, re.sub(r"\blists\b", _lists, REPORT_SQL)))

@@ -26,7 +26,6 @@ from hirelake.operators.crawl import crawl_ledger, crawl_violations
 from hirelake.operators.dedup import keep_latest, keep_latest_by_fallback
 from hirelake.operators.enrich import enrich
 from hirelake.operators.joins import join_parsed
-from hirelake.operators.partitioning import spread_small
 from hirelake.operators.phrases import group_from_table, roles_from_table
 from hirelake.operators.profile import count_by, value_frequency
 from hirelake.operators.stages import evaluated_once
@@ -43,7 +42,7 @@ from hirelake.sources.tables import materialize
 from hirelake.sources.versioned import VersionedTable
 from hirelake.sources.workspace import shared_folder
 from hirelake.streaming.incremental import upsert_new_snapshots
-from verification.fixture import LINE_IDENTITY, ORDER, postings, table
+from verification.fixture import LINE_IDENTITY, ORDER, postings, table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,7 +112,7 @@ def cleaned_b(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small(table(spark, sf, "pages"), "page_id")
+    return spread(table(spark, sf, "pages"), "page_id")
 
 
 # --- scans, sources, sinks -------------------------------------------------
@@ -363,7 +362,7 @@ def html_flags(spark, sf):
         F.when(F.col("l_partkey") % 5 == 0, " level-").otherwise(" no-level-"), F.col("l_linenumber").cast("string"),
         F.when(F.col("l_suppkey") % 7 == 0, "\tlevel-9").otherwise(""),
     )
-    rows = spread_small(table(spark, sf, "lineitem"), *LINE_IDENTITY).withColumn("class", cls)
+    rows = spread(table(spark, sf, "lineitem"), *LINE_IDENTITY).withColumn("class", cls)
     return rows.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("l_shipdate"),
         F.array_contains(classes_of(F.col("class")), "bg-highlight").alias("is_highlight"),
@@ -463,7 +462,7 @@ def page_count_text(spark, sf):
 
 def crawl_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Page responses of one crawl per supplier, with planted violations."""
-    li = spread_small(table(spark, sf, "lineitem"), *LINE_IDENTITY)
+    li = spread(table(spark, sf, "lineitem"), *LINE_IDENTITY)
     asked = F.col("l_partkey") + 1
     return li.select("l_suppkey", asked.alias("asked_page")).distinct().select(
         F.col("l_suppkey").alias("crawl_id"), "asked_page",
@@ -786,6 +785,6 @@ def daily_run(spark, sf):
     return run_day(
         spark, Layout(folder, namespace_of(folder)), DAY,
         raw_a=cards_a(card_markup_a(rows), BASE_URL),
-        raw_b=cards_b(card_markup(rows), BASE_URL).where(F.col("box_type").isNotNull()),
+        raw_b=cards_b(card_markup(rows), BASE_URL),
         order_a=["scraped_at", "source_page", "slug"], order_b=["scraped_at", "source_page", "tracking_id"],
     )
