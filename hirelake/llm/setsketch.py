@@ -142,24 +142,26 @@ def _likely(plan: SketchPlan):
 def _verified(plan: SketchPlan):
     """Keep pairs of texts whose full shingle sets reach the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for c in ("ta", "tb"):
-                whos, values = [], []
-                for first, _, data, offsets in text_slices(batch.column(c)):
-                    who, value = shingle_sets(data, offsets, plan.shingle)
-                    whos.append(who + first)
-                    values.append(value)
-                sides.append((np.concatenate([np.zeros(0, np.int64), *whos]), np.concatenate([np.zeros(0, np.uint64), *values])))
-            n = batch.num_rows
-            size = [np.bincount(w, minlength=n) for w, _ in sides]
-            who, value = (np.concatenate(x) for x in zip(*sides))
-            order = np.lexsort((value, who))
-            who, value = who[order], value[order]
-            same = np.flatnonzero((who[1:] == who[:-1]) & (value[1:] == value[:-1]))
-            shared = np.bincount(who[same], minlength=n)
-            union = size[0] + size[1] - shared
-            yield batch.select(["a", "b"]).filter(pa.array((union > 0) & (100 * shared >= plan.percent * union)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):  # few pairs' sets are in memory at once
+                batch = whole.slice(at, 500)
+                sides = []
+                for c in ("ta", "tb"):
+                    whos, values = [], []
+                    for first, _, data, offsets in text_slices(batch.column(c)):
+                        who, value = shingle_sets(data, offsets, plan.shingle)
+                        whos.append(who + first)
+                        values.append(value)
+                    sides.append((np.concatenate([np.zeros(0, np.int64), *whos]), np.concatenate([np.zeros(0, np.uint64), *values])))
+                n = batch.num_rows
+                size = [np.bincount(w, minlength=n) for w, _ in sides]
+                who, value = (np.concatenate(x) for x in zip(*sides))
+                order = np.lexsort((value, who))
+                who, value = who[order], value[order]
+                same = np.flatnonzero((who[1:] == who[:-1]) & (value[1:] == value[:-1]))
+                shared = np.bincount(who[same], minlength=n)
+                union = size[0] + size[1] - shared
+                yield batch.select(["a", "b"]).filter(pa.array((union > 0) & (100 * shared >= plan.percent * union)))
 
     return run
 
@@ -200,7 +202,7 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     kept. Other columns are not read, so their names do not matter.
 
     Equal sets are first reduced to their smallest id. A bucket's members are
-    compared with its smallest member. Those not joined with it go, in blocks of
+    compared with its leader. Those not joined with it go, in blocks of
     `block` members, against all of the bucket that lies in another component;
     so no pair that shares a bucket is lost, and none inside a component is
     enumerated.
@@ -218,8 +220,15 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     whole = sets.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sig_a", "sig_b"), ["doc_id", "n_shingles", "sig_a", "sig_b"], "left_semi")
     reps = whole.select("doc_id", F.col("n_shingles").alias("n"), "registers")
     members = whole.select(F.explode("bands").alias("bucket"), "doc_id").distinct()
-    counted = members.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.count("*").alias("size")).where("size > 1")
-    members = stored(members.join(counted, "bucket"), folder, "members")
+    counted = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(members.join(counted, "bucket"), folder, "shared-buckets")
+    # A bucket's leader is its member with most company over all buckets (the smallest id on
+    # ties): the text that copies were made from leads them in every bucket it is in.
+    company = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
+    members = stored(members.join(company, "doc_id").select("bucket", "doc_id", "size", F.struct("company", (-F.col("doc_id")).alias("minus")).alias("weight")), folder, "weighed")
+    leads = members.groupBy("bucket").agg(F.max("weight").alias("best")).select("bucket", "best", (-F.col("best.minus")).alias("lead"))
+    members = stored(members.drop("weight").join(leads, "bucket"), folder, "members")
+    counted = members.groupBy("bucket").agg(F.first("size").alias("size"))
 
     def with_registers(pairs: DataFrame) -> DataFrame:
         ra = reps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
@@ -230,16 +239,16 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
         likely = with_registers(pairs).mapInArrow(_likely(plan), "a long, b long")
         return _confirm(likely, given, plan)
 
-    # One pair a document, with the least leader of its buckets, joins most copies; then
+    # One pair a document, with the best leader of its buckets, joins most copies; then
     # the leaders of other components.
     beside = members.where("doc_id <> lead")
-    least = beside.groupBy("doc_id").agg(F.min("lead").alias("a")).select("a", F.col("doc_id").alias("b"))
-    links = stored(confirmed(least), folder, "least-links")
+    best = beside.groupBy("doc_id").agg(F.max("best").alias("best")).select((-F.col("best.minus")).alias("a"), F.col("doc_id").alias("b"))
+    links = stored(confirmed(best), folder, "best-links")
     zero = stored(components(links, folder, "zero"), folder, "zero-components")
     of = lambda c, out: zero.select(F.col("node").alias(c), F.col("component").alias(out))
     star = beside.join(of("doc_id", "cd"), "doc_id", "left").join(of("lead", "cl"), "lead", "left")
     star = star.where(F.coalesce("cd", "doc_id") != F.coalesce("cl", "lead")).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
-    star = star.distinct().join(least, ["a", "b"], "left_anti")
+    star = star.distinct().join(best, ["a", "b"], "left_anti")
     links = stored(links.union(confirmed(star)).distinct(), folder, "star-links")
     first = stored(components(links, folder, "first"), folder, "first-components")
 
