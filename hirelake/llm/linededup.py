@@ -29,14 +29,16 @@ MARK = "\uffff"
 class WinnowPlan:
     """`gram` lines a hash, `window` hashes a pick; lines average four to five words.
 
-    Any repeated run of gram + window - 1 = 8 lines is found. `min_words` counts
-    whole lines: a passage of over 50 words inside another paragraph may lose
-    part of a line at each end, and shorter repeats are left alone.
+    Any repeated run of gram + window - 1 = 8 lines is found. A run counts from
+    `min_words` words and `min_chars` characters in whole lines: a passage of over 50
+    words inside another paragraph may lose part of a line at each end, and shorter
+    repeats are left alone.
     """
 
     gram: int = 3
     window: int = 6
     min_words: int = 40
+    min_chars: int = 160
 
     @property
     def reach(self) -> int:
@@ -58,7 +60,7 @@ PLACE = (1 << 24) - 1
 
 
 def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
-    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (words a line), p and fp (the picks).
+    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (characters a line), p and fp (the picks).
 
     A pick is the least run hash of a window of `window` runs, leftmost on ties;
     the place moves on with the window, so distinct places are distinct picks.
@@ -66,13 +68,10 @@ def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
     """
     k, w = plan.gram, plan.window
     given = texts.where("text is not null and text <> ''").select("doc_id", text_key(F.col("text")).alias("row"), lines(F.col("text")).alias("x"))
-    # Columns that a lambda reads are fixed first; Spark would else put their expressions
-    # into the lambda and evaluate them anew for each element.
-    given = evaluated_once(given.where(F.size("x") >= k).select("doc_id", "row", F.transform("x", lambda x: F.btrim(x, F.lit(" \t\n\r\u000b\u000c"))).alias("x")), "x")
-    units = given.select(
-        "doc_id", "row", F.transform("x", lambda x: F.hash(x)).alias("u"),
-        F.transform("x", lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + F.when(x == "", 0).otherwise(1)).alias("n"),
-    )
+    # Columns that filters and lambdas read are fixed first; Spark would else put their
+    # expressions there as well and evaluate them anew, for each element in a lambda.
+    given = evaluated_once(given, "x").where(F.size("x") >= k)
+    units = given.select("doc_id", "row", F.transform("x", lambda x: F.hash(x)).alias("u"), F.transform("x", lambda x: F.char_length(x)).alias("n"))
     units = units.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"), F.first("n").alias("n"))
     gram = F.transform(F.sequence(F.lit(1), F.size("u") - (k - 1)), lambda i: F.xxhash64(*[F.element_at("u", i + j) for j in range(k)]))
     units = evaluated_once(units.withColumn("g", gram), "g")
@@ -85,7 +84,7 @@ def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
 
 
 def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str | None = None) -> DataFrame:
-    """(row, start, end, from_row, from_start): line runs of `min_words` words of a distinct text that an earlier place has.
+    """(row, start, end, from_row, from_start): line runs of `min_chars` characters of a distinct text that an earlier place has.
 
     `texts` has doc_id and text; row is a text's key. Earlier means a smaller
     doc_id (null last), then a smaller key, then an earlier line; runs overlap
@@ -94,16 +93,16 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     folder = folder or work_folder(texts.sparkSession)
     k, reach = plan.gram, plan.reach
     units = stored(winnowed(texts, plan), folder, "units")
-    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(3)), i >= 0, i + 3 <= F.size("u"))
+    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(2)), i >= 0, i + 2 <= F.size("u"))
     total = lambda a, b: F.aggregate(F.slice("n", F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0))), F.lit(0), lambda t, x: t + x)
     each = F.transform(F.arrays_zip("fp", "p"), lambda x: F.struct(
-        x["fp"].alias("fp"), x["p"].alias("p"), beside(x["p"] - 3).alias("l"), beside(x["p"] + k).alias("r"), (total(x["p"] - 2, x["p"] + k + 2) >= plan.min_words).alias("big")))
+        x["fp"].alias("fp"), x["p"].alias("p"), beside(x["p"] - 2).alias("l"), beside(x["p"] + k).alias("r"), (total(x["p"] - 1, x["p"] + k + 1) >= plan.min_chars).alias("big")))
     picks = units.select("row", "doc_id", F.explode(each).alias("x")).select("row", "doc_id", "x.*")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "p", "l", "r")
     first = picks.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1")
     first = first.select("fp", F.col("first.row").alias("row0"), F.col("first.p").alias("p0"), F.col("first.l").alias("l0"), F.col("first.r").alias("r0"))
-    # A run that goes neither three lines on to the left of a pick nor to its right lies
-    # within two lines of it; where those have too few words the pick needs no look.
+    # A run that goes neither two lines on to the left of a pick nor to its right lies
+    # within one line of it; where those are too short the pick needs no look.
     hits = picks.join(first, "fp").where("not (row = row0 and p = p0) and (l = l0 or r = r0 or big)").select("row", "fp", "p", "row0", "p0")
     hits = stored(hits, folder, "hits")
     # Around each earliest place: the lines within reach on both sides.
@@ -142,9 +141,9 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     runs = runs.withColumn("reached", F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1)))
     runs = runs.withColumn("no", F.sum(F.when(F.col("reached") >= F.col("start"), 0).otherwise(1)).over(along))
     runs = runs.groupBy("row", "row0", "shift", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    # Too short ones go before any text is touched; `n` may count a word more where blanks are doubled, never less.
+    # Too short ones go before any text is touched.
     sized = runs.groupBy("row").agg(F.collect_list(F.struct("row0", "shift", "start", "end")).alias("rs")).join(units.select("row", "n"), "row")
-    sized = sized.select("row", F.explode(F.filter("rs", lambda r: total(r["start"], r["end"]) >= plan.min_words)).alias("r"))
+    sized = sized.select("row", F.explode(F.filter("rs", lambda r: total(r["start"], r["end"]) >= plan.min_chars)).alias("r"))
     runs = sized.select("row", "r.*")
     return runs.select("row", "start", "end", F.col("row0").alias("from_row"), (F.col("start") - F.col("shift")).alias("from_start"))
 

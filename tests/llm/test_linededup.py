@@ -65,10 +65,10 @@ def test_planted_passages(spark, planted):
 
 def test_every_long_run_of_lines_is_found(spark, planted):
     docs, _ = planted
-    plan = WinnowPlan(min_words=1)
+    plan = WinnowPlan(min_words=1, min_chars=1)
     found = repeated_runs(spark.createDataFrame([(i, t) for i, t in docs.items()], "doc_id long, text string"), plan).collect()
     keys = {r.k: r.doc_id for r in spark.createDataFrame(list(docs.items()), "doc_id long, text string").orderBy(F.desc("doc_id")).select("doc_id", text_key(F.col("text")).alias("k")).collect()}
-    units = {i: [x.strip() for x in re.sub("(" + CUT + ")", "\\1\uffff", t).split("\uffff")] for i, t in docs.items()}
+    units = {i: re.sub("(" + CUT + ")", "\\1\uffff", t).split("\uffff") for i, t in docs.items()}
     covered = {}
     for r in found:
         me, other = units[keys[r.row]], units[keys[r.from_row]]
