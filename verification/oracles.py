@@ -542,10 +542,10 @@ def on_board_b(name: str) -> str:
         needs = {n: on_board_b(n) for n in NEEDS[name]}
         sql = CTES[name]
         for old, other in needs.items():
-            sql = re.sub(rf"\b{old}\b", other, sql)
+            sql = re.sub(rf"\b(FROM|JOIN)(\s+){old}\b", rf"\1\2{other}", sql)
         cte(new, list(needs.values()), sql)
     return new
 
 
 _lists, _salary = on_board_b("lists"), on_board_b("g_salary")
-oracle("daily_run", [_lists, "g_career", _salary], re.sub(r"\bg_salary\b", _salary, re.sub(r"\blists\b", _lists, REPORT_SQL)))
+oracle("daily_run", [_lists, "g_career", _salary], re.sub(r"\bFROM g_salary\b", f"FROM {_salary}", re.sub(r"\bFROM lists\b", f"FROM {_lists}", REPORT_SQL)))
