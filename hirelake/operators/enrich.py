@@ -44,9 +44,6 @@ def enrich(
     required = [f.name for f in schema if not f.nullable]
 
     def pack(rows: list[dict]) -> pa.RecordBatch:
-        for n in required:
-            if any(r[n] is None for r in rows):
-                raise ValueError(f"required field {n} is null")
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +53,11 @@ def enrich(
                 given, out = batch.to_pylist(), []
                 for row in given:
                     try:
-                        out.append({**base, key: row[key], **fn(row, session)})
+                        answer = {**base, key: row[key], **fn(row, session)}
+                        for n in required:
+                            if answer[n] is None:
+                                raise ValueError(f"required field {n} is null")
+                        out.append(answer)
                     except Exception as error:
                         out.append(failed(row, error))
                 try:

@@ -295,6 +295,10 @@ SELECT page_id, CASE WHEN ok THEN md5(html) END AS html_md5,
   CASE k WHEN 1 THEN 'status_not_success' WHEN 2 THEN 'data_not_an_object' WHEN 3 THEN 'html_not_a_string'
     WHEN 4 THEN 'total_page_below_1' WHEN 5 THEN 'paging_not_integer' WHEN 6 THEN 'not_json' END AS reject_reason
 FROM (SELECT page_id, html, page_id % 8 AS k, page_id % 8 IN (0, 7) AS ok FROM pages)""")
+oracle("page_fragments_decode", [], """
+SELECT page_id, CASE WHEN k = 0 THEN md5(html) END AS jobs_md5, CASE WHEN k = 0 THEN 'p' || page_id END AS pagination_html,
+  CASE k WHEN 1 THEN 'not_an_object' WHEN 2 THEN 'not_json' WHEN 3 THEN 'jobs_html_not_a_string' WHEN 4 THEN 'pagination_html_not_a_string' END AS reject_reason
+FROM (SELECT page_id, html, page_id % 5 AS k FROM pages)""")
 oracle("csv_export_roundtrip", ["postings"], """
 SELECT job_id, 'job-' || job_id AS slug, title, job_url, company_name, '' AS company_url, '' AS company_logo,
   coalesce(salary_freeform, '') AS salary, '' AS job_category, 'Hybrid' AS working_model, city AS location,
@@ -304,6 +308,10 @@ oracle("upsert_merge", ["postings"], f"""
 SELECT {_SMALL} FROM postings
 QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY scraped_at >= TIMESTAMP '1998-01-01' DESC, {LAST}) = 1""")
 oracle("incremental_upsert", ["latest"], f"SELECT {_SMALL} FROM latest")
+oracle("incremental_late_file", ["latest"], f"SELECT {_SMALL} FROM latest")
+oracle("silver_mixed_times", ["postings"], """
+SELECT job_id, title, CASE WHEN position % 3 <> 1 THEN CAST(epoch(CAST(scraped_at AS TIMESTAMP)) AS BIGINT) END AS seconds FROM postings
+QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY CASE WHEN position % 3 <> 1 THEN scraped_at END DESC NULLS LAST, source_page DESC, position DESC) = 1""")
 oracle("gold_materialize", GOLD, """
 SELECT 'career_data_engineer' AS model, CAST(NumberofDataEngineer AS VARCHAR) AS row FROM g_career
 UNION ALL SELECT 'skil_DE_need', skill || '|' || job_count FROM g_skills
@@ -471,6 +479,13 @@ oracle("enrich_partitions", ["postings"], f"SELECT {_ROWKEY}, {_NUMBERS} AS year
 oracle("enrich_error_rows", ["postings"], f"""
 SELECT {_ROWKEY}, CASE WHEN position % 7 <> 0 THEN {_NUMBERS} END AS years, CASE WHEN position % 7 = 0 THEN 'error' ELSE 'success' END AS status,
   CASE WHEN position % 7 = 0 THEN 'no answer for ' || position END AS message FROM postings""")
+oracle("enrich_required_fields", ["postings"], f"""
+SELECT {_ROWKEY}, coalesce({_NUMBERS}, -1.0) AS years, CASE WHEN {_NUMBERS} IS NULL THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN {_NUMBERS} IS NULL THEN 'required field years is null' END AS message FROM postings""")
+oracle("salary_reply_decode", ["postings"], f"""
+SELECT {ROW}, CASE WHEN position % 6 = 0 THEN 10.5 END::DOUBLE AS min_salary, CASE WHEN position % 6 = 0 THEN 20.0 END::DOUBLE AS max_salary,
+  CASE WHEN position % 6 = 0 THEN 'USD' END AS currency, CASE WHEN position % 6 = 0 THEN 'month' END AS period,
+  CASE WHEN position % 6 = 0 THEN 'success' ELSE 'failed' END AS parse_status FROM postings""")
 oracle("reply_decode", ["postings"], f"""
 SELECT {ROW}, CASE WHEN n IN (0, 1) THEN 'Data' END AS role_group, CASE WHEN n IN (0, 1) THEN 'Data Engineer' END AS primary_role,
   CASE WHEN n IN (0, 1) THEN 'A|B' ELSE '' END AS secondary_roles, CASE WHEN n IN (0, 1) THEN 'Junior' ELSE 'Unknown' END AS seniority,

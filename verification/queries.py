@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hirelake.functions import urls
 from hirelake.functions.experience import experience_error, parse_experience
-from hirelake.functions.replies import decode_classification, prompt_record
+from hirelake.functions.replies import decode_classification, decode_salary, prompt_record
 from hirelake.functions.roles import ROLES
 from hirelake.functions.salary_freeform import parse_freeform_salary
 from hirelake.functions.salary_token import flatten_salary, parse_salary
@@ -36,13 +36,13 @@ from hirelake.plans.daily import Layout, run_day
 from hirelake.plans.gold import build_all
 from hirelake.schemas import CLEAN_A, CLEAN_B, RAW_A
 from hirelake.sources.csv_export import read_csv, write_csv
-from hirelake.sources.responses import decode_listing
+from hirelake.sources.responses import decode_fragments, decode_listing
 from hirelake.sources.snapshots import read_day, write_snapshot
 from hirelake.sources.tables import materialize
 from hirelake.sources.versioned import VersionedTable
 from hirelake.sources.workspace import shared_folder
 from hirelake.streaming.incremental import upsert_new_snapshots
-from verification.fixture import LINE_IDENTITY, ORDER, postings, table, spread
+from verification.fixture import LINE_IDENTITY, ORDER, postings, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +147,19 @@ def page_response_decode(spark, sf):
     return decoded.select("page_id", F.md5("html").alias("html_md5"), "total", "total_page", "current_page", "reject_reason")
 
 
+@query
+def page_fragments_decode(spark, sf):
+    """Board A envelopes of five kinds made from `pages`, then decoded and validated."""
+    kind = F.col("page_id") % 5
+    html = F.regexp_replace(F.to_json(F.struct("html")), r'^\{"html":|\}$', "")
+    body = F.when(kind == 1, F.lit("[1]")).when(kind == 2, F.lit('{"jobs_html":')).otherwise(F.concat(
+        F.lit('{"jobs_html":'), F.when(kind == 3, F.lit("null")).otherwise(html),
+        F.lit(',"pagination_html":'), F.when(kind == 4, F.lit("7")).otherwise(F.concat(F.lit('"p'), F.col("page_id").cast("string"), F.lit('"'))), F.lit("}"),
+    ))
+    decoded = decode_fragments(pages(spark, sf).select("page_id", body.alias("body")))
+    return decoded.select("page_id", F.md5("jobs_html").alias("jobs_md5"), "pagination_html", "reject_reason")
+
+
 @query
 def csv_export_roundtrip(spark, sf):
     path = shared_folder(spark) + "/csv"
@@ -183,6 +196,31 @@ def incremental_upsert(spark, sf):
     return as_text(target.read())
 
 
+@query
+def incremental_late_file(spark, sf):
+    """The same drops, the newest first: files that come late take nothing back."""
+    rows = as_small(postings(spark, sf))
+    folder = shared_folder(spark)
+    target = VersionedTable(spark, folder + "/table", rows.schema)
+    bounds = ["9999-01-01", "1996-01-01", "1900-01-01"]
+    for i, (high, low) in enumerate(zip(bounds, bounds[1:])):
+        part = rows.where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high))
+        write_snapshot(part, folder + "/raw", DAY - dt.timedelta(days=i))
+        upsert_new_snapshots(spark, folder + "/raw", rows.schema, target, folder + "/checkpoint", ORDER)
+    return as_text(target.read())
+
+
+@query
+def silver_mixed_times(spark, sf):
+    """Crawl times with offsets, without, and unreadable: the latest instant of a job wins, not the largest text."""
+    t = F.col("scraped_at").cast("timestamp")
+    shifted = F.concat(F.date_format(t + F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00"))
+    text = F.when(F.col("position") % 3 == 0, shifted).when(F.col("position") % 3 == 1, F.lit("not a time")).otherwise(
+        F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")))
+    rows = raw_a(postings(spark, sf)).withColumn("scraped_at", text)
+    return as_text(clean_a(rows, ORDER).select("job_id", "title", F.unix_seconds("scraped_at").alias("seconds")))
+
+
 @query
 def gold_materialize(spark, sf):
     """Cleaned tables stored, seven aggregates stored from them, all read back."""
@@ -634,6 +672,27 @@ def enrich_error_rows(spark, sf):
                   defaults={"status": "error"}, error_column="message")
 
 
+@query
+def enrich_required_fields(spark, sf):
+    """An answer without a required field becomes an error row."""
+    schema = T.StructType([T.StructField(f.name, f.dataType, f.name != "years") for f in YEARS])
+    return enrich(keyed_experience(spark, sf), years_of, schema, key="row_key", defaults={"years": -1.0, "status": "error"}, error_column="message")
+
+
+@query
+def salary_reply_decode(spark, sf):
+    n = F.col("position") % 6
+    reply = (
+        F.when(n == 0, F.lit('{"min_salary":10.5,"max_salary":20,"currency":"USD","period":"month","parse_status":"success"}'))
+        .when(n == 1, F.lit('{"min_salary":null,"max_salary":null,"currency":null,"period":null,"parse_status":"failed"}'))
+        .when(n == 2, F.lit('{"min_salary":1,"currency":"gold","parse_status":"success"}'))
+        .when(n == 3, F.lit('{"min_salary":"much","parse_status":"success"}'))
+        .when(n == 4, F.lit("no json"))
+        .otherwise(F.lit('{"min_salary":1}'))
+    )
+    return as_text(decode_salary(postings(spark, sf).select(*ROW, reply.alias("reply"))))
+
+
 @query
 def reply_decode(spark, sf):
     n = F.col("position") % 9
