@@ -19,9 +19,9 @@ from hirelake.llm.stored import stored, work_folder
 from hirelake.operators.stages import evaluated_once
 
 WORD = r"[^\x20\x09-\x0D]+"
-# A cut follows a line break, the first blank after a word that ends in a-g (by
-# letter, so by content) or in anything but a letter h-z, and ideographic full stops.
-CUT = r"[^h-zH-Z\x20\x09-\x0D][\x20\x09]|\n|[。！？]"
+# A cut follows a line break, the first blank after a word that ends in a-d (by
+# letter, so by content) or in anything but a letter e-z, and ideographic full stops.
+CUT = r"[^e-zE-Z\x20\x09-\x0D][\x20\x09]|\n|[。！？]"
 MARK = "\uffff"
 
 
@@ -29,14 +29,14 @@ MARK = "\uffff"
 class WinnowPlan:
     """`gram` lines a hash, `window` hashes a pick; lines average four to five words.
 
-    Any repeated run of gram + window - 1 = 8 lines is found. A run counts from
+    Any repeated run of gram + window - 1 = 9 lines is found. A run counts from
     `min_words` words and `min_chars` characters in whole lines: a passage of over 50
     words inside another paragraph may lose part of a line at each end, and shorter
     repeats are left alone.
     """
 
     gram: int = 3
-    window: int = 6
+    window: int = 7
     min_words: int = 40
     min_chars: int = 160
 
@@ -60,11 +60,13 @@ PLACE = (1 << 24) - 1
 
 
 def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
-    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (characters a line), p and fp (the picks).
+    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (characters a line), picks.
 
     A pick is the least run hash of a window of `window` runs, leftmost on ties;
     the place moves on with the window, so distinct places are distinct picks.
-    Windows compare the hash's high bits, with the place below them.
+    Windows compare the hash's high bits, with the place below them. A pick has its
+    hash fp, its place p, hashes l and r of the two lines on either side, and whether
+    it is big: long enough with one more line on either side.
     """
     k, w = plan.gram, plan.window
     given = texts.where("text is not null and text <> ''").select("doc_id", text_key(F.col("text")).alias("row"), lines(F.col("text")).alias("x"))
@@ -80,7 +82,15 @@ def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
     spans = F.sequence(F.lit(0), F.greatest(F.size("g") - w, F.lit(0)))
     place = lambda i: i + F.pmod(F.array_min(F.slice("packed", i + 1, w)).bitwiseAND(F.lit(PLACE)) - i, F.lit(PLACE + 1)).cast("int")
     units = units.withColumn("p", F.array_distinct(F.transform(spans, place)))
-    return units.select("row", "doc_id", "u", "n", "p", F.transform("p", lambda i: F.get("g", i)).alias("fp"))
+    units = evaluated_once(units, "p")
+    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(2)), i >= 0, i + 2 <= F.size("u"))
+    return units.select("row", "doc_id", "u", "n", F.transform("p", lambda i: F.struct(
+        F.get("g", i).alias("fp"), i.alias("p"), beside(i - 2).alias("l"), beside(i + k).alias("r"), (_total(i - 1, i + k + 1) >= plan.min_chars).alias("big"))).alias("picks"))
+
+
+def _total(a: Column, b: Column) -> Column:
+    """Characters of the lines a to b (exclusive)."""
+    return F.aggregate(F.slice("n", F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0))), F.lit(0), lambda t, x: t + x)
 
 
 def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str | None = None) -> DataFrame:
@@ -93,11 +103,7 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     folder = folder or work_folder(texts.sparkSession)
     k, reach = plan.gram, plan.reach
     units = stored(winnowed(texts, plan), folder, "units")
-    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(2)), i >= 0, i + 2 <= F.size("u"))
-    total = lambda a, b: F.aggregate(F.slice("n", F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0))), F.lit(0), lambda t, x: t + x)
-    each = F.transform(F.arrays_zip("fp", "p"), lambda x: F.struct(
-        x["fp"].alias("fp"), x["p"].alias("p"), beside(x["p"] - 2).alias("l"), beside(x["p"] + k).alias("r"), (total(x["p"] - 1, x["p"] + k + 1) >= plan.min_chars).alias("big")))
-    picks = units.select("row", "doc_id", F.explode(each).alias("x")).select("row", "doc_id", "x.*")
+    picks = units.select("row", "doc_id", F.explode("picks").alias("x")).select("row", "doc_id", "x.*")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "p", "l", "r")
     first = picks.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1")
     first = first.select("fp", F.col("first.row").alias("row0"), F.col("first.p").alias("p0"), F.col("first.l").alias("l0"), F.col("first.r").alias("r0"))
@@ -143,7 +149,7 @@ def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str
     runs = runs.groupBy("row", "row0", "shift", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     # Too short ones go before any text is touched.
     sized = runs.groupBy("row").agg(F.collect_list(F.struct("row0", "shift", "start", "end")).alias("rs")).join(units.select("row", "n"), "row")
-    sized = sized.select("row", F.explode(F.filter("rs", lambda r: total(r["start"], r["end"]) >= plan.min_chars)).alias("r"))
+    sized = sized.select("row", F.explode(F.filter("rs", lambda r: _total(r["start"], r["end"]) >= plan.min_chars)).alias("r"))
     runs = sized.select("row", "r.*")
     return runs.select("row", "start", "end", F.col("row0").alias("from_row"), (F.col("start") - F.col("shift")).alias("from_start"))
 
