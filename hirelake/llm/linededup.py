@@ -1,11 +1,12 @@
 """Delete passages that an earlier place already has, with DataFrame functions only.
 
-Texts are cut into lines: at line breaks and, inside a paragraph, after marks and
-after letters that say where to cut by content alone, so that a passage set into
-the middle of another paragraph is cut alike. Winnowing picks, in each window of
-line-run hashes, the least one; any two runs of `reach` equal lines then share a
-pick. Picks are joined with their earliest place, matches are extended both ways
-line by line, and runs that reach `min_words` words go, but for the first copy.
+Texts are cut into lines of one word each, so that no cut depends on what stands
+around a passage. Winnowing picks, in each window of hashes of `gram` lines, the
+least one; a stretch of `reach` lines holds one window, so equal stretches have equal
+picks. Successive stretches of one pick form its span. Equal spans count as repeats of
+their earliest place, whichever it is; where spans of one pick differ, the stretches
+in the earliest of each are compared one by one. Stretches that an earlier place has
+are united, and runs of `min_words` words or more go.
 """
 
 from __future__ import annotations
@@ -19,26 +20,23 @@ from hirelake.llm.stored import stored, work_folder
 from hirelake.operators.stages import evaluated_once
 
 WORD = r"[^\x20\x09-\x0D]+"
-# A cut follows a line break, the first blank after a word that ends in a-d (by
-# letter, so by content) or in anything but a letter e-z, and ideographic full stops.
-CUT = r"[^e-zE-Z\x20\x09-\x0D][\x20\x09]|\n|[。！？]"
+# A cut follows each word with its blanks and breaks, and ideographic full stops.
+CUT = r"[\x20\x09-\x0D]+|[。！？]"
 MARK = "\uffff"
 
 
 @dataclass(frozen=True)
 class WinnowPlan:
-    """`gram` lines a hash, `window` hashes a pick; lines average four to five words.
+    """`gram` lines a hash, `window` hashes a pick; a line is a word.
 
-    Any repeated run of gram + window - 1 = 9 lines is found. A run counts from
-    `min_words` words and `min_chars` characters in whole lines: a passage of over 50
-    words inside another paragraph may lose part of a line at each end, and shorter
-    repeats are left alone.
+    Any repeated stretch of gram + window - 1 = 40 lines is found. A run counts from
+    `min_words` words and `min_chars` characters; shorter repeats are left alone.
     """
 
-    gram: int = 3
-    window: int = 7
+    gram: int = 9
+    window: int = 32
     min_words: int = 40
-    min_chars: int = 160
+    min_chars: int = 0
 
     @property
     def reach(self) -> int:
@@ -59,99 +57,87 @@ def text_key(text: Column) -> Column:
 PLACE = (1 << 24) - 1
 
 
+def _least(packed: str, w: int) -> list[Column]:
+    """Steps that turn an array into the minima of its windows of `w` elements, each read from the one before."""
+    part = min(w, 8)
+    starts = [*range(0, w - part, part), w - part]
+    steps = [F.transform(packed, lambda _, i: F.array_min(F.slice(packed, i + 1, part)))]
+    if len(starts) > 1:
+        steps.append(F.transform(F.sequence(F.lit(0), F.size(packed) - w), lambda i: F.least(*[F.get(packed, i + d) for d in starts])))
+    else:
+        steps.append(F.slice(packed, F.lit(1), F.size(packed) - (w - 1)))
+    return steps
+
+
 def winnowed(texts: DataFrame, plan: WinnowPlan) -> DataFrame:
-    """One row per distinct text: row (its key), doc_id (the smallest), u (line hashes), n (characters a line), picks.
+    """One row per distinct text of at least `reach` lines: row (its key), doc_id (the smallest), u (line hashes), picks.
 
-    A pick is the least run hash of a window of `window` runs, leftmost on ties;
-    the place moves on with the window, so distinct places are distinct picks.
+    A pick is the least run hash of a window of `window` runs, leftmost on ties.
     Windows compare the hash's high bits, with the place below them. A pick has its
-    hash fp, its place p, hashes l and r of the two lines on either side, and whether
-    it is big: long enough with one more line on either side.
+    hash fp, the first a of the stretches that have it, their number n, the hash
+    of all their lines sh, and whether it is tight: the same run follows in each of
+    these stretches, as in a short phrase over and over.
     """
-    k, w = plan.gram, plan.window
+    k, w, reach = plan.gram, plan.window, plan.reach
     given = texts.where("text is not null and text <> ''").select("doc_id", text_key(F.col("text")).alias("row"), lines(F.col("text")).alias("x"))
     # Columns that filters and lambdas read are fixed first; Spark would else put their
     # expressions there as well and evaluate them anew, for each element in a lambda.
-    given = evaluated_once(given, "x").where(F.size("x") >= k)
-    units = given.select("doc_id", "row", F.transform("x", lambda x: F.hash(x)).alias("u"), F.transform("x", lambda x: F.char_length(x)).alias("n"))
-    units = units.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"), F.first("n").alias("n"))
-    gram = F.transform(F.sequence(F.lit(1), F.size("u") - (k - 1)), lambda i: F.xxhash64(*[F.element_at("u", i + j) for j in range(k)]))
+    given = evaluated_once(given, "x").where(F.size("x") >= reach)
+    units = given.select("doc_id", "row", F.transform("x", lambda x: F.hash(x)).alias("u"))
+    units = units.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("u").alias("u"))
+    gram = F.transform(F.sequence(F.lit(0), F.size("u") - k), lambda i: F.xxhash64(F.slice("u", i + 1, k)))
     units = evaluated_once(units.withColumn("g", gram), "g")
     packed = F.transform("g", lambda h, i: h.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(PLACE))))
-    units = evaluated_once(units.withColumn("packed", packed), "packed")
-    spans = F.sequence(F.lit(0), F.greatest(F.size("g") - w, F.lit(0)))
-    place = lambda i: i + F.pmod(F.array_min(F.slice("packed", i + 1, w)).bitwiseAND(F.lit(PLACE)) - i, F.lit(PLACE + 1)).cast("int")
-    units = units.withColumn("p", F.array_distinct(F.transform(spans, place)))
-    units = evaluated_once(units, "p")
-    beside = lambda i: F.hash(F.slice("u", F.greatest(i, F.lit(0)) + 1, F.lit(2)), i >= 0, i + 2 <= F.size("u"))
-    return units.select("row", "doc_id", "u", "n", F.transform("p", lambda i: F.struct(
-        F.get("g", i).alias("fp"), i.alias("p"), beside(i - 2).alias("l"), beside(i + k).alias("r"), (_total(i - 1, i + k + 1) >= plan.min_chars).alias("big"))).alias("picks"))
+    units = evaluated_once(units.withColumn("least", packed), "least")
+    for step in _least("least", w):
+        units = evaluated_once(units.withColumn("least", step), "least")
+    place = lambda x, s: s + F.pmod(x.bitwiseAND(F.lit(PLACE)) - s, F.lit(PLACE + 1)).cast("int")
+    units = evaluated_once(units.withColumn("p", F.transform("least", place)).drop("least"), "p")
+    begins = F.filter(F.sequence(F.lit(0), F.size("p") - 1), lambda s: (s == 0) | (F.get("p", s) != F.get("p", s - 1)))
+    units = evaluated_once(units.withColumn("begins", begins), "begins")
 
+    def pick(a: Column, i: Column) -> Column:
+        p, n = F.get("p", a), F.coalesce(F.get("begins", i + 1), F.size("p")) - a
+        fp = F.get("g", p)
+        tight = F.array_contains(F.slice("g", p + 2, a + (w - 1) - p), fp)
+        return F.struct(fp.alias("fp"), a.alias("a"), n.alias("n"), F.xxhash64(F.slice("u", a + 1, n + (reach - 1))).alias("sh"), tight.alias("tight"))
 
-def _total(a: Column, b: Column) -> Column:
-    """Characters of the lines a to b (exclusive)."""
-    return F.aggregate(F.slice("n", F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0))), F.lit(0), lambda t, x: t + x)
+    return units.select("row", "doc_id", "u", F.transform("begins", pick).alias("picks"))
 
 
 def repeated_runs(texts: DataFrame, plan: WinnowPlan = WinnowPlan(), folder: str | None = None) -> DataFrame:
-    """(row, start, end, from_row, from_start): line runs of `min_chars` characters of a distinct text that an earlier place has.
+    """(row, start, end, from_row, from_start): line runs of at least `reach` lines of a distinct text that an earlier place has.
 
     `texts` has doc_id and text; row is a text's key. Earlier means a smaller
-    doc_id (null last), then a smaller key, then an earlier line; runs overlap
-    where several earlier places have them.
+    doc_id (null last), then a smaller key, then an earlier line. Every stretch of
+    `reach` lines that any earlier place has is in some run; runs overlap. Within
+    one text, a short phrase over and over is no repeat.
     """
     folder = folder or work_folder(texts.sparkSession)
-    k, reach = plan.gram, plan.reach
+    reach = plan.reach
     units = stored(winnowed(texts, plan), folder, "units")
     picks = units.select("row", "doc_id", F.explode("picks").alias("x")).select("row", "doc_id", "x.*")
-    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "p", "l", "r")
-    first = picks.groupBy("fp").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1")
-    first = first.select("fp", F.col("first.row").alias("row0"), F.col("first.p").alias("p0"), F.col("first.l").alias("l0"), F.col("first.r").alias("r0"))
-    # A run that goes neither two lines on to the left of a pick nor to its right lies
-    # within one line of it; where those are too short the pick needs no look.
-    hits = picks.join(first, "fp").where("not (row = row0 and p = p0) and (l = l0 or r = r0 or big)").select("row", "fp", "p", "row0", "p0")
-    hits = stored(hits, folder, "hits")
-    # Around each earliest place: the lines within reach on both sides.
-    asked = hits.select("fp", "row0", "p0").distinct().groupBy("row0").agg(F.collect_list(F.struct("fp", "p0")).alias("asks"))
-    around = asked.join(units.select(F.col("row").alias("row0"), "u"), "row0")
-    low = lambda p: F.greatest(p - reach, F.lit(0))
-    around = around.select(F.explode(F.transform("asks", lambda a: F.struct(
-        a["fp"].alias("fp"), low(a["p0"]).alias("low"), F.slice("u", low(a["p0"]) + 1, a["p0"] - low(a["p0"]) + k + reach).alias("near"),
-    ))).alias("a")).select("a.*")
-    hits = hits.join(around, "fp")
+    place = lambda at: F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", F.col(at).alias("at"))
+    again = picks.groupBy("fp").agg(F.count("*").alias("times"), F.min("sh").alias("low"), F.max("sh").alias("high"))
+    again = again.where("times > 1").select("fp", (F.col("low") != F.col("high")).alias("mixed"))
+    hits = stored(picks.join(again, "fp"), folder, "hits")
+    first = hits.groupBy("fp", "sh").agg(F.min(place("a")).alias("first"))
+    first = first.select("fp", "sh", F.col("first.row").alias("row0"), F.col("first.at").alias("a0"))
+    leads, inside = F.expr("row = row0 and a = a0"), F.expr("row = row0 and tight")
+    seen = hits.join(first, ["fp", "sh"]).withColumn("covered", ~leads & ~inside).where("covered or mixed")
+    seen = stored(seen.select("row", "doc_id", "a", "n", "tight", "row0", "a0", "covered"), folder, "seen")
+    whole = seen.where("covered").select("row", F.col("a").alias("start"), (F.col("a") + F.col("n") + (reach - 1)).alias("end"), F.col("row0").alias("from_row"), F.col("a0").alias("from_start"))
     # One group is one text's picks, so it is as long as the text itself.
-    hits = hits.groupBy("row").agg(F.collect_list(F.struct("p", "row0", "p0", "low", "near")).alias("hits"))
-    hits = hits.join(units.select("row", "u"), "row")
-
-    def equal_until(hit: Column, steps: Column, sign: int, origin: int) -> Column:
-        """How many further lines on one side are equal, at most `reach`."""
-        def same(i: Column) -> Column:
-            mine, other = hit["p"] + origin + sign * i, hit["p0"] + origin + sign * i
-            inside = (mine >= 0) & (other >= 0) & (other >= hit["low"]) & (other - hit["low"] < F.size(hit["near"]))
-            return F.coalesce(inside & (F.get("u", mine) == F.get(hit["near"], other - hit["low"])), F.lit(False))
-        return F.coalesce(F.array_position(F.transform(steps, same), False).cast("int") - 1, F.lit(0))
-
-    before, after = F.sequence(F.lit(1), F.lit(reach)), F.sequence(F.lit(0), F.lit(reach))
-
-    def spread(hit: Column) -> Column:
-        left, right = equal_until(hit, before, -1, 0), equal_until(hit, after, 1, k)
-        left, right = (F.when(x < 0, s).otherwise(x) for x, s in ((left, F.lit(reach)), (right, F.lit(reach))))
-        start, end = hit["p"] - left, hit["p"] + k + right
-        return F.struct(hit["row0"].alias("row0"), (hit["p"] - hit["p0"]).alias("shift"), start.alias("start"), end.alias("end"))
-
-    # The lines of the pick itself are compared too: equal hashes of runs are checked.
-    true_hits = F.filter("hits", lambda h: F.forall(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("u", h["p"] + i) == F.get(h["near"], h["p0"] - h["low"] + i)))
-    runs = hits.select("row", F.explode(F.transform(true_hits, spread)).alias("r")).select("row", "r.*")
-    # Overlapping or touching runs with the same earlier place and shift are one.
-    along = Window.partitionBy("row", "row0", "shift").orderBy("start", "end")
-    runs = runs.withColumn("reached", F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1)))
-    runs = runs.withColumn("no", F.sum(F.when(F.col("reached") >= F.col("start"), 0).otherwise(1)).over(along))
-    runs = runs.groupBy("row", "row0", "shift", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    # Too short ones go before any text is touched.
-    sized = runs.groupBy("row").agg(F.collect_list(F.struct("row0", "shift", "start", "end")).alias("rs")).join(units.select("row", "n"), "row")
-    sized = sized.select("row", F.explode(F.filter("rs", lambda r: _total(r["start"], r["end"]) >= plan.min_chars)).alias("r"))
-    runs = sized.select("row", "r.*")
-    return runs.select("row", "start", "end", F.col("row0").alias("from_row"), (F.col("start") - F.col("shift")).alias("from_start"))
+    asked = seen.where("not covered").groupBy("row").agg(F.collect_list(F.struct("a", "n", "tight")).alias("asks"))
+    asked = asked.join(units.select("row", "doc_id", "u"), "row").select("row", "doc_id", "u", F.explode("asks").alias("x"))
+    each = F.transform(F.sequence(F.col("x.a"), F.col("x.a") + F.col("x.n") - 1), lambda s: F.struct(s.alias("s"), F.xxhash64(F.slice("u", s + 1, reach)).alias("sh")))
+    asked = asked.select("row", "doc_id", "x.tight", F.explode(each).alias("y")).select("row", "doc_id", "tight", "y.*")
+    asked = stored(asked, folder, "stretches")
+    first = asked.groupBy("sh").agg(F.min(place("s")).alias("first"), F.count("*").alias("times")).where("times > 1")
+    first = first.select("sh", F.col("first.row").alias("row0"), F.col("first.at").alias("s0"))
+    single = asked.join(first, "sh").where("not (row = row0 and (s = s0 or tight))")
+    single = single.select("row", F.col("s").alias("start"), (F.col("s") + reach).alias("end"), F.col("row0").alias("from_row"), F.col("s0").alias("from_start"))
+    return whole.unionByName(single)
 
 
 def without_repeats(docs: DataFrame, plan: WinnowPlan = WinnowPlan()) -> DataFrame:

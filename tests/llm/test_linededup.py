@@ -101,3 +101,14 @@ def test_lines_join_to_the_text(spark):
 def test_native_plan(spark, planted):
     df = without_repeats(spark.createDataFrame(rows_of(planted[0]), SCHEMA))
     assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
+
+
+def test_passages_without_telling_letters_are_found(spark):
+    rng = random.Random(3)
+    say = lambda n, letters: ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n)]
+    smooth, spam = say(52, "hijklmnop"), ["shop", "now", "here"] * 20
+    around = lambda part: " ".join(say(30, "abcxyz") + part + say(30, "abcxyz"))
+    rows = [(1, around(smooth)), (2, around(smooth)), (3, around(spam)), (4, around(spam))]
+    out = {r.doc_id: r for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].n_runs == out[3].n_runs == 0
+    assert out[2].removed_words == 52 and out[4].removed_words == 60
