@@ -173,13 +173,16 @@ def without_repeats(docs: DataFrame, plan: WinnowPlan = WinnowPlan()) -> DataFra
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     # Sorted runs that overlap or touch become one.
     joined = F.aggregate(
-        F.filter("runs", lambda r: total(r) >= plan.min_words), nothing,
+        "runs", nothing,
         lambda a, r: F.when((F.size(a) > 0) & (F.element_at(a, -1)["end"] >= r["start"]), F.concat(
             F.slice(a, 1, F.size(a) - 1),
             F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], r["end"]).alias("end"))),
         )).otherwise(F.concat(a, F.array(F.struct(r["start"].alias("start"), r["end"].alias("end"))))),
     )
     found = evaluated_once(found.withColumn("cut", F.when(F.col("parts").isNotNull(), joined)), "cut")
+    # What counts is the run that all earlier places cover together.
+    held = lambda r: F.char_length(F.array_join(F.slice("parts", r["start"] + 1, r["end"] - r["start"]), ""))
+    found = evaluated_once(found.withColumn("cut", F.filter("cut", lambda r: (total(r) >= plan.min_words) & ((F.lit(plan.min_chars) <= 0) | (held(r) >= plan.min_chars)))), "cut")
     chars = lambda a, b: F.char_length(F.array_join(F.slice("parts", a + 1, b - a), ""))
     spans = F.transform("cut", lambda r: F.struct(chars(F.lit(0), r["start"]).alias("a"), chars(F.lit(0), r["end"]).alias("b"), total(r).cast("long").alias("n")))
     copy = F.when(F.col("whole") & (n_words(F.col("body")) >= plan.min_words), F.array(F.struct(F.lit(0).alias("a"), F.char_length("body").alias("b"), n_words(F.col("body")).cast("long").alias("n"))))

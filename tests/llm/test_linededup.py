@@ -112,3 +112,16 @@ def test_passages_without_telling_letters_are_found(spark):
     out = {r.doc_id: r for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[1].n_runs == out[3].n_runs == 0
     assert out[2].removed_words == 52 and out[4].removed_words == 60
+
+
+def test_short_lines_elsewhere_do_not_hide_a_passage(spark):
+    rng = random.Random(5)
+    say = lambda n: ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(n)]
+    docs, n = {}, 0
+    for _ in range(20):
+        left, right = say(32), say(32)
+        for part in (left, right, left + right, left + right):
+            docs[n] = " ".join(say(20) + part + say(20))
+            n += 1
+    out = {r.doc_id: r for r in without_repeats(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert all(out[i].removed_words == (64 if i % 4 == 3 else 0) for i in docs)
