@@ -271,8 +271,8 @@ def train(docs: DataFrame, labels: DataFrame, plan: ToxicPlan = ToxicPlan()) ->
     """Fit on at most `sample` rows of each class, the first by hash, none of them held out.
 
     Labels of one document that differ count as toxic; null labels, null ids
-    and null texts teach nothing. Only ids are chosen from all rows; the texts of
-    the chosen ones, a fixed number, come to the driver.
+    and null texts teach nothing. Only ids are chosen from all rows; one text of
+    each chosen one, the least by hash where an id repeats, comes to the driver.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id"))).join(docs.where("text is not null").select("doc_id").distinct(), "doc_id", "left_semi")
@@ -281,7 +281,9 @@ def train(docs: DataFrame, labels: DataFrame, plan: ToxicPlan = ToxicPlan()) ->
     spark = docs.sparkSession
     ids = spark.createDataFrame(rows, "doc_id long, toxic int")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    found = given.join(F.broadcast(ids), "doc_id").toArrow()
+    text = F.col("text").cast("string")
+    found = given.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min(F.struct(F.xxhash64(text), text.alias("text"))).alias("x"))
+    found = found.select("doc_id", "toxic", "x.text").toArrow()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
     texts = found["text"].to_pylist()
     return fit([texts[i] for i in order], found["toxic"].to_numpy()[order], plan)

@@ -60,3 +60,16 @@ def test_one_class_and_no_labels(spark, tables):
     assert {r.predicted for r in classify(docs, labels.where("toxic = 0")).collect()} == {0}
     assert classify(docs.limit(0), labels.limit(0)).collect() == []
     assert {r.predicted for r in classify(docs, labels.limit(0)).collect()} == {0}
+
+
+def test_repeated_ids_count_once(spark, tables, monkeypatch):
+    import hirelake.llm.toxicity as module
+
+    docs, labels = tables
+    given = []
+    monkeypatch.setattr(module, "fit", lambda texts, toxic, plan: given.append((texts, toxic.tolist())))
+    few = docs.where("doc_id is not null and text is not null")
+    train(few, labels)
+    copies = few.where("doc_id < 30").crossJoin(spark.range(50)).drop("id")
+    train(few.unionByName(copies), labels)
+    assert given[0] == given[1] and len(given[0][0]) > 500
