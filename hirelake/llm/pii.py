@@ -201,7 +201,7 @@ def candidates(docs: DataFrame, plan: PiiPlan = PiiPlan()) -> DataFrame:
     digit, has = F.col("text").rlike("[0-9]"), lambda x: F.contains(F.col("text"), F.lit(x))
     df = evaluated_once(df.withColumn("digit", digit), "digit")
     gates = {"email": has("@"), "ip": F.col("digit") & has("."), "card": F.col("digit"), "phone": has("+")}
-    loose = {"email": has("[at]") | has("(at)") | (has(" at ") & has(" dot ")), "phone": F.col("digit")}
+    loose = {"email": has("[at]") | has("(at)") | (has(" at ") & (has(".") | has(" dot "))), "phone": F.col("digit")}
     found = {k: (k, gates[k], BASE[k], False) for k in KINDS} | {f"loose_{k}": (k, loose[k], LOOSE[k], True) for k in LOOSE}
     df = _located(df, found, plan.context).drop("digit")
 

@@ -78,3 +78,8 @@ def test_empty_and_native(spark, docs):
     df = candidates(docs)
     assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
     assert meets_base is not None
+
+
+def test_loose_email_with_a_plain_dot_is_a_candidate(spark):
+    df = spark.createDataFrame([(1, "write to jane at example.com today")], "doc_id long, text string")
+    assert [x.kind for r in candidates(df).collect() for x in r.c] == ["email"]
