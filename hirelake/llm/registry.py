@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import kneserney, linededup, mixing, pii, pqdedup, sentencepieces, srsearch, toxicity, wrappers
+from hirelake.llm import kneserney, linededup, mixing, pii, pqdedup, qualityrules, sentencepieces, srsearch, toxicity, wrappers
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -54,6 +54,10 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return srsearch.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.verdicts(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii": op2_pii,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_line_dedup": op10_line_dedup,
+    "op12_quality_rules": op12_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_quality_rules": qualityrules.SQL}
