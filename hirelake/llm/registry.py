@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.llm import kneserney, linededup, mixing, pii, pqdedup, qualityrules, sentencepieces, srsearch, toxicity, wrappers
+from hirelake.llm import fptree, kneserney, linededup, mixing, pii, pqdedup, qualityrules, resampling, sentencepieces, srsearch, toxicity, wrappers
 from hirelake.llm.setsketch import near_duplicates
 
 
@@ -54,10 +54,18 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return srsearch.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qualityrules.verdicts(documents(spark, sf_dir))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii": op2_pii,
@@ -69,7 +77,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_quality_rules": op12_quality_rules,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
-ORACLES: dict[str, str] = {"op12_quality_rules": qualityrules.SQL}
+ORACLES: dict[str, str] = {
+    "op11_ranked_search": fptree.SQL,
+    "op12_quality_rules": qualityrules.SQL,
+    "op13_importance_resampling": resampling.SQL,
+}
