@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.operators.dedup import keep_latest
+from hirelake.sources.bucketed import WRITTEN, BucketedTable
 from hirelake.sources.versioned import VersionedTable
 
 
@@ -52,3 +53,21 @@ def upsert_version(table: VersionedTable, rows: DataFrame, key: str = "job_id",
     out = table.write(merged)
     table.retire()
     return out
+
+
+def upsert_buckets(table: BucketedTable, rows: DataFrame, order: list[str] | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
+    """Upsert into the buckets that the rows' keys fall in; `table.changes()` then has old and new rows.
+
+    As `upsert_version` otherwise. A `batch` (stream, number) that the table has taken
+    already changes nothing, so a stream may replay it after a failure.
+    """
+    key = table.key
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        if order is None:
+            return upserted(old, new, key)
+        both = old.unionByName(new)
+        latest = keep_latest(both.where(F.col(key).isNotNull()), key, [*order, WRITTEN])
+        return latest.unionByName(both.where(F.col(key).isNull()))
+
+    return table.replace_buckets(rows, merge, batch)

@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hirelake.operators.upsert import upsert_version
+from hirelake.operators.upsert import upsert_buckets
 from hirelake.plans.clean import clean_a, clean_b
-from hirelake.plans.gold import build_all
+from hirelake.plans.gold_state import advance, tables_from_state
 from hirelake.plans.report import report_text
 from hirelake.schemas import CLEAN_A, CLEAN_B, RAW_A, RAW_B
+from hirelake.sources.bucketed import BucketedTable
 from hirelake.sources.snapshots import read_day, write_snapshot
 from hirelake.sources.tables import materialize
-from hirelake.sources.versioned import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,9 @@ class Layout:
     def clean(self, board: str) -> str:
         return f"{self.root}/clean/{board}"
 
+    def state(self, board: str) -> str:
+        return f"{self.root}/state/{board}"
+
     def gold(self, alias: str) -> str:
         return f"{self.root}/gold/{alias}"
 
@@ -38,20 +41,23 @@ def run_day(
     spark: SparkSession, layout: Layout, day: dt.date, raw_a: DataFrame | None = None, raw_b: DataFrame | None = None,
     zone: str | None = None, order_a: list[str] | None = None, order_b: list[str] | None = None,
 ) -> DataFrame:
-    """Store the day's rows, upsert both boards, rebuild the aggregates, report.
+    """Store the day's rows, upsert both boards, bring the aggregates up to date, report.
 
     Every step reads what the step before stored. Running a day again adds a
-    snapshot and leaves the same cleaned rows.
+    snapshot and leaves the same cleaned rows; running an earlier day again takes
+    nothing back, since a job's row gives way only to one crawled as late. An upsert writes the
+    buckets of the day's jobs, and the aggregates follow from the changed rows.
     """
     for board, rows in (("a", raw_a), ("b", raw_b)):
         if rows is not None:
             write_snapshot(rows, layout.raw(board), day)
-    table_a = VersionedTable(spark, layout.clean("a"), CLEAN_A)
-    table_b = VersionedTable(spark, layout.clean("b"), CLEAN_B)
-    postings_a = upsert_version(table_a, clean_a(read_day(spark, layout.raw("a"), day, RAW_A), order_a, zone))
-    postings_b = upsert_version(table_b, clean_b(read_day(spark, layout.raw("b"), day, RAW_B), order_b, zone))
+    states = []
+    for board, schema, raw, clean, order in (("a", CLEAN_A, RAW_A, clean_a, order_a), ("b", CLEAN_B, RAW_B, clean_b, order_b)):
+        table = BucketedTable(spark, layout.clean(board), schema)
+        upsert_buckets(table, clean(read_day(spark, layout.raw(board), day, raw), order, zone), ["scraped_at"])
+        states.append(advance(table, layout.state(board), board))
     names = {
         alias: materialize(df, alias, layout.namespace, path=layout.gold(alias))
-        for alias, df in build_all(postings_a, postings_b).items()
+        for alias, df in tables_from_state(*states).items()
     }
     return report_text({alias: spark.table(name) for alias, name in names.items()}, day)

@@ -307,6 +307,15 @@ SELECT job_id, 'job-' || job_id AS slug, title, job_url, company_name, '' AS com
 oracle("upsert_merge", ["postings"], f"""
 SELECT {_SMALL} FROM postings
 QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY scraped_at >= TIMESTAMP '1998-01-01' DESC, {LAST}) = 1""")
+ORACLES["upsert_versions"] = ORACLES["upsert_merge"]
+cte("late_rows", ["postings"], f"""
+SELECT * FROM postings WHERE scraped_at >= TIMESTAMP '1995-01-01' AND scraped_at < TIMESTAMP '1997-01-01'
+  AND job_id NOT IN (SELECT job_id FROM postings WHERE scraped_at >= TIMESTAMP '1997-01-01') QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY {LAST}) = 1""")
+cte("rows_they_replace", ["postings", "late_rows"], f"""
+SELECT * FROM postings WHERE scraped_at < TIMESTAMP '1995-01-01' AND job_id IN (SELECT job_id FROM late_rows)
+  QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY {LAST}) = 1""")
+oracle("upsert_changes", ["late_rows", "rows_they_replace"], f"""
+SELECT CAST(1 AS INTEGER) AS sign, {_SMALL} FROM late_rows UNION ALL SELECT CAST(-1 AS INTEGER), {_SMALL} FROM rows_they_replace""")
 oracle("incremental_upsert", ["latest"], f"SELECT {_SMALL} FROM latest")
 oracle("incremental_late_file", ["latest"], f"SELECT {_SMALL} FROM latest")
 oracle("silver_mixed_times", ["postings"], """
@@ -320,6 +329,7 @@ UNION ALL SELECT 'Luong_trung_binh_IT', CAST(trunc(LUONG_TRUNG_BINH_MIN) AS BIGI
 UNION ALL SELECT 'phan_bo_viec_lam', coalesce(city, '-') || '|' || TongCongViec FROM g_city
 UNION ALL SELECT 'TheMostCVinData', primary_role || '|' || avg_experience_years || '|' || total_jobs FROM g_data
 UNION ALL SELECT 'Trend_hiring', coalesce(primary_role, '-') || '|' || TongSoTuyenDung FROM g_trend""")
+ORACLES["gold_from_changes"] = ORACLES["gold_materialize"]
 oracle("silver_a", ["clean_a"], """
 SELECT job_id, min_salary, max_salary, currency, period, parse_status, title, job_url, company_name, 'Hybrid' AS working_model,
   city AS location, array_to_string(visible_tags, '|') AS skills, replace(coalesce(remaining_tags, ''), ',', '|') AS benefits,

@@ -29,12 +29,13 @@ from hirelake.operators.joins import join_parsed
 from hirelake.operators.phrases import group_from_table, roles_from_table
 from hirelake.operators.profile import count_by, value_frequency
 from hirelake.operators.stages import evaluated_once
-from hirelake.operators.upsert import upsert_version
-from hirelake.plans import gold, report
+from hirelake.operators.upsert import upsert_buckets, upsert_version
+from hirelake.plans import gold, gold_state, report
 from hirelake.plans.clean import clean_a, clean_b
 from hirelake.plans.daily import Layout, run_day
 from hirelake.plans.gold import build_all
 from hirelake.schemas import CLEAN_A, CLEAN_B, RAW_A
+from hirelake.sources.bucketed import BucketedTable
 from hirelake.sources.csv_export import read_csv, write_csv
 from hirelake.sources.responses import decode_fragments, decode_listing
 from hirelake.sources.snapshots import read_day, write_snapshot
@@ -172,12 +173,33 @@ def csv_export_roundtrip(spark, sf):
 def upsert_merge(spark, sf):
     """Latest old rows, then latest new rows upserted on top."""
     rows = as_small(postings(spark, sf))
+    target = BucketedTable(spark, shared_folder(spark), rows.schema, bucket_rows=20_000)
+    for side in (F.col("scraped_at") < "1998-01-01", F.col("scraped_at") >= "1998-01-01"):
+        upsert_buckets(target, keep_latest(rows.where(side), "job_id", ORDER))
+    return as_text(target.read())
+
+
+@query
+def upsert_versions(spark, sf):
+    """The same on a table of whole versions."""
+    rows = as_small(postings(spark, sf))
     target = VersionedTable(spark, shared_folder(spark), rows.schema)
     for side in (F.col("scraped_at") < "1998-01-01", F.col("scraped_at") >= "1998-01-01"):
         upsert_version(target, keep_latest(rows.where(side), "job_id", ORDER))
     return as_text(target.read())
 
 
+@query
+def upsert_changes(spark, sf):
+    """Rows taken away and put in by the last of three upserts, late rows among them."""
+    rows = as_small(postings(spark, sf))
+    target = BucketedTable(spark, shared_folder(spark), rows.schema, bucket_rows=20_000)
+    for low, high in (("1900-01-01", "1995-01-01"), ("1997-01-01", "9999-01-01"), ("1995-01-01", "1997-01-01")):
+        part = rows.where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high))
+        upsert_buckets(target, keep_latest(part, "job_id", ORDER), ORDER)
+    return as_text(target.changes())
+
+
 def as_small(df: DataFrame) -> DataFrame:
     return df.select("job_id", "title", "salary", "visible_tags", "city", "source_page", "position", "scraped_at")
 
@@ -187,7 +209,7 @@ def incremental_upsert(spark, sf):
     """Three snapshot drops, read incrementally; the final state is the latest row per job."""
     rows = as_small(postings(spark, sf))
     folder = shared_folder(spark)
-    target = VersionedTable(spark, folder + "/table", rows.schema)
+    target = BucketedTable(spark, folder + "/table", rows.schema, bucket_rows=20_000)
     bounds = ["1900-01-01", "1996-01-01", "1999-01-01", "9999-01-01"]
     for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
         part = rows.where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high))
@@ -225,16 +247,38 @@ def silver_mixed_times(spark, sf):
 def gold_materialize(spark, sf):
     """Cleaned tables stored, seven aggregates stored from them, all read back."""
     folder = shared_folder(spark)
+    saved = {
+        alias: spark.table(materialize(model, alias, f" {namespace_of(folder)} ", path=f"{folder}/gold/{alias}"))
+        for alias, model in build_all(*stored_boards(spark, sf, folder)).items()
+    }
+    return as_cells(saved)
+
+
+def as_cells(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all aggregate tables as (model, row); averages of salaries are compared as whole numbers."""
     parts = []
-    for alias, model in build_all(*stored_boards(spark, sf, folder)).items():
-        saved = spark.table(materialize(model, alias, f" {namespace_of(folder)} ", path=f"{folder}/gold/{alias}"))
-        # Averages of salaries are compared as whole numbers.
-        whole = [F.col(c).cast("bigint") if c.startswith("LUONG") else F.col(c) for c in saved.columns]
+    for alias, df in tables.items():
+        whole = [F.col(c).cast("bigint") if c.startswith("LUONG") else F.col(c) for c in df.columns]
         cells = [F.coalesce(c.cast("string"), F.lit("-")) for c in whole]
-        parts.append(saved.select(F.lit(alias).alias("model"), F.concat_ws("|", *cells).alias("row")))
+        parts.append(df.select(F.lit(alias).alias("model"), F.concat_ws("|", *cells).alias("row")))
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def gold_from_changes(spark, sf):
+    """Seven aggregates that follow three upserts of each board by their changed rows alone."""
+    folder, states = shared_folder(spark), []
+    bounds = ["1900-01-01", "1997-01-01", "1998-03-01", "9999-01-01"]
+    for board, schema, raw, clean in (("a", CLEAN_A, raw_a, clean_a), ("b", CLEAN_B, raw_b, clean_b)):
+        table = BucketedTable(spark, f"{folder}/{board}", schema, bucket_rows=50_000)
+        for low, high in zip(bounds, bounds[1:]):
+            part = postings(spark, sf).where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high))
+            upsert_buckets(table, clean(raw(part), ORDER))
+            state = gold_state.advance(table, f"{folder}/state/{board}", board)
+        states.append(state)
+    return as_cells(gold_state.tables_from_state(*states))
+
+
 def namespace_of(folder: str) -> str:
     """A namespace of its own for each run."""
     return "gold_" + folder.rpartition("-")[2].lower().replace("_", "x")
