@@ -122,6 +122,16 @@ class BucketedTable:
         gone = gone.join(came.select(self.key), self.key, "left_semi").select(*self.schema.fieldNames())
         return came.select(F.lit(1).alias("sign"), "*").unionByName(gone.select(F.lit(-1).alias("sign"), "*"))
 
+    def stage(self, df: DataFrame) -> DataFrame:
+        """`df` stored beside the table, as read back; one run's, gone with `retire_staged`."""
+        path = f"{self.root}/beside/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def retire_staged(self) -> None:
+        """Delete what `stage` stored, when no frame reads it any more."""
+        remove(self.spark, f"{self.root}/beside")
+
     def replace_buckets(self, rows: DataFrame, merge, batch: tuple[str, int] | None = None) -> DataFrame:
         """Write the next version: `merge(old, new)` on the buckets that `rows` touch; returns the table.
 

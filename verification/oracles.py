@@ -492,6 +492,10 @@ SELECT {_ROWKEY}, CASE WHEN position % 7 <> 0 THEN {_NUMBERS} END AS years, CASE
 oracle("enrich_required_fields", ["postings"], f"""
 SELECT {_ROWKEY}, coalesce({_NUMBERS}, -1.0) AS years, CASE WHEN {_NUMBERS} IS NULL THEN 'error' ELSE 'success' END AS status,
   CASE WHEN {_NUMBERS} IS NULL THEN 'required field years is null' END AS message FROM postings""")
+oracle("enrich_known_answers", ["postings"], f"""
+SELECT {ROW}, title, experience, city, CASE WHEN title NOT LIKE 'BrSE%' THEN {_NUMBERS} END AS years,
+  CASE WHEN title LIKE 'BrSE%' THEN 'error' ELSE 'success' END AS status, CASE WHEN title LIKE 'BrSE%' THEN 'no answer for ' || title END AS message,
+  title NOT LIKE 'BrSE%' AND bool_or(position % 5 = 0) OVER (PARTITION BY title, experience, city) AS known FROM postings""")
 oracle("salary_reply_decode", ["postings"], f"""
 SELECT {ROW}, CASE WHEN position % 6 = 0 THEN 10.5 END::DOUBLE AS min_salary, CASE WHEN position % 6 = 0 THEN 20.0 END::DOUBLE AS max_salary,
   CASE WHEN position % 6 = 0 THEN 'USD' END AS currency, CASE WHEN position % 6 = 0 THEN 'month' END AS period,

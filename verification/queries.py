@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,6 +21,7 @@ from hirelake.functions.tags import normalized_tags
 from hirelake.functions.text import clean_or_blank, clean_or_null, drop_prefix_ci, first_present
 from hirelake.functions.times import parse_time
 from hirelake.operators import html_columns
+from hirelake.operators.answers import CallPlan, answers_schema, enrich_known
 from hirelake.operators.board_cards import cards_a, cards_b, classes_of, first_class_with_prefix, nonempty_texts
 from hirelake.operators.classify import classify
 from hirelake.operators.crawl import crawl_ledger, crawl_violations
@@ -723,6 +725,27 @@ def enrich_required_fields(spark, sf):
     return enrich(keyed_experience(spark, sf), years_of, schema, key="row_key", defaults={"years": -1.0, "status": "error"}, error_column="message")
 
 
+def years_of_prompt(prompt: str, _session) -> dict:
+    """A stand-in for a remote model that is given the record as text."""
+    record = json.loads(prompt)
+    if record["title"].startswith("BrSE"):
+        raise ValueError("no answer for " + record["title"])
+    return years_of(record, None)
+
+
+@query
+def enrich_known_answers(spark, sf):
+    """Two runs: the second calls only for the prompts that the first, on every fifth row, did not ask."""
+    fields = T.StructType([f for f in YEARS if f.name in ("years", "status")])
+    answers = BucketedTable(spark, shared_folder(spark), answers_schema(fields), key="prompt_hash")
+    rows = postings(spark, sf).select(*ROW, "title", "experience", "city")
+    prompt = F.to_json(F.struct("title", "experience", "city"), {"ignoreNullFields": "false"})
+    plan = CallPlan(tries=1)
+    for part in (rows.where("position % 5 = 0"), rows):
+        out = enrich_known(part, prompt, years_of_prompt, answers, defaults={"status": "error"}, error_column="message", known_column="known", plan=plan)
+    return as_text(out)
+
+
 @query
 def salary_reply_decode(spark, sf):
     n = F.col("position") % 6
