@@ -457,6 +457,37 @@ FROM (SELECT strftime(scraped_at, '%Y') AS crawl, position AS page,
     CASE WHEN row_number() OVER (PARTITION BY strftime(scraped_at, '%Y'), job_id ORDER BY position) = 1 THEN 1 ELSE 0 END AS is_new FROM postings)
 GROUP BY crawl, page""")
 
+cte("crawled", ["postings"], """
+SELECT *, max(page) OVER (PARTITION BY month) AS pages FROM (
+  SELECT *, CAST((row_number() OVER (PARTITION BY month ORDER BY job_id, source_page, position) - 1) // 30 + 1 AS INTEGER) AS page, month || '-28T01:02:03+00:00' AS crawl_time
+  FROM (SELECT *, strftime(scraped_at, '%Y-%m') AS month, CAST(strftime(scraped_at, '%m') AS INTEGER) AS m FROM postings))""")
+
+
+def sinks(read: str, of: str, tracking: str, rejects: str, violations: str, beyond: str) -> str:
+    """Rows, ledger, rejects, violations and pages beyond, of the cards on the pages read; keys are job ids."""
+    return f"""
+SELECT 'row' AS sink, concat_ws('|', job_id, {tracking}, title, {of}, page, crawl_time) AS row FROM {read}
+  QUALIFY row_number() OVER (PARTITION BY crawl_time, job_id ORDER BY page DESC, position DESC, posted_at DESC) = 1
+UNION ALL SELECT 'ledger', concat_ws('|', crawl_time, page, n, new, CAST(sum(new) OVER (PARTITION BY crawl_time ORDER BY page) AS BIGINT)) FROM (
+  SELECT crawl_time, page, count(*) AS n, count(*) FILTER (again = 1) AS new FROM (
+    SELECT *, row_number() OVER (PARTITION BY crawl_time, job_id ORDER BY page) AS again FROM {read}) GROUP BY crawl_time, page)
+UNION ALL SELECT DISTINCT 'reject', concat_ws('|', month, page, {rejects}) FROM crawled WHERE {rejects} IS NOT NULL
+UNION ALL SELECT 'violation', concat_ws('|', month, page, v) FROM ({violations})
+UNION ALL SELECT DISTINCT 'beyond', concat_ws('|', month, page) FROM crawled WHERE {rejects} IS NULL AND {beyond}"""
+
+
+_LINK = "split_part(job_url, '?', 1)"
+_REJECT_B, _REJECT_A = "CASE WHEN page % 5 = 2 THEN 'status_not_success' END", "CASE page % 7 WHEN 3 THEN 'not_an_object' WHEN 5 THEN 'not_json' END"
+# A crawl of month 5 ends before page 3, of month 9 before page 4, of month 11 at once.
+cte("read_b", ["crawled"], "SELECT * FROM crawled WHERE page % 5 <> 2 AND NOT (m = 5 AND page >= 3 AND pages >= 3) AND NOT (m = 9 AND page >= 4 AND pages >= 4) AND m <> 11")
+oracle("ingest_b", ["crawled", "read_b"], sinks("read_b", "city, job_url", "lpad(CAST(position AS VARCHAR), 12, '0')", _REJECT_B, """
+SELECT DISTINCT month, page, CASE WHEN m = 5 THEN 'wrong_page_returned' WHEN m = 9 THEN 'total_page_changed' ELSE 'shown_pages_differ' END AS v
+FROM crawled WHERE m = 5 AND page = 3 OR m = 9 AND page = 4 OR m = 11 AND page = 1""", "false"))
+_LAST = "least(20, greatest(pages - 2, 1))"
+cte("read_a", ["crawled"], f"SELECT * FROM crawled WHERE page % 7 NOT IN (3, 5) AND page <= {_LAST}")
+oracle("ingest_a", ["crawled", "read_a"], sinks("read_a", f"city, {_LINK}", "'s-' || lpad(CAST(position AS VARCHAR), 12, '0')", _REJECT_A,
+                                               "SELECT month, page, '' AS v FROM crawled WHERE false", f"page > {_LAST}"))
+
 _SAL = "salary_min, salary_max, salary_currency, salary_period, salary_type, salary_parse_status, salary_parser_version, salary_parse_error"
 oracle("salary_token_parse", ["with_salary"], f"SELECT {ROW}, salary, {_SAL} FROM with_salary")
 oracle("salary_range", ["with_salary"], f"SELECT {ROW}, salary_min, salary_max, salary_currency, salary_parse_error FROM with_salary WHERE salary_type = 'range'")

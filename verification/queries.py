@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ from hirelake.operators.phrases import group_from_table, roles_from_table
 from hirelake.operators.profile import count_by, value_frequency
 from hirelake.operators.stages import evaluated_once
 from hirelake.operators.upsert import upsert_buckets, upsert_version
-from hirelake.plans import gold, gold_state, report
+from hirelake.plans import gold, gold_state, ingest, report
 from hirelake.plans.clean import clean_a, clean_b
 from hirelake.plans.daily import Layout, run_day
 from hirelake.plans.gold import build_all
@@ -316,18 +316,15 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;")), F.lit("<"), F.lit("&lt;"))
 
 
-def card_markup(df: DataFrame) -> DataFrame:
-    """A listing page per posting: a full card, for every third also a bare one, and a decoy.
-
-    Each page is built from its own row, so no page collects a hot group.
-    """
+def full_card() -> Column:
+    """A posting as board B shows it."""
     e = lambda c: escaped(F.coalesce(F.col(c).cast("string"), F.lit("")))
     tags = F.array_join(F.transform("visible_tags", lambda t: F.concat(F.lit('<a class="item-tag"> '), t, F.lit("</a>"))), "")
     page_class = F.element_at(
         F.array(*map(F.lit, ["", " bg-highlight", " bg-flash-job", " bg-diamond-employer"])),
         (F.col("position") % 4 + 1).cast("int"),
     )
-    full = F.concat(
+    return F.concat(
         F.lit('<div class="job-item-search-result'), page_class, F.lit('" data-job-id="'), e("job_id"),
         F.lit('" data-job-position="'), e("position"), F.lit('" data-u-sr-id="'), F.lpad(F.col("position").cast("string"), 12, "0"), F.lit('" data-box="list">'),
         F.lit('<div class="avatar"><a href="/logo"><img data-src=" /img/'), e("job_id"), F.lit('.png" src="/x.png" alt="none"></a></div>'),
@@ -344,6 +341,15 @@ def card_markup(df: DataFrame) -> DataFrame:
         F.when(F.col("source_page") == 5, '<i class="job-pro-icon"></i><i class="tag-diamond-employer"></i>').otherwise(""),
         F.lit("</div>"),
     )
+
+
+def card_markup(df: DataFrame) -> DataFrame:
+    """A listing page per posting: a full card, for every third also a bare one, and a decoy.
+
+    Each page is built from its own row, so no page collects a hot group.
+    """
+    e = lambda c: escaped(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    full = full_card()
     bare = F.concat(
         F.lit('<div class="job-item-search-result" data-job-id="bare-'), e("job_id"),
         F.lit('"><div class="avatar"><a href="'), e("job_url"), F.lit('" aria-label="'), e("title"),
@@ -364,11 +370,12 @@ def html_cards(spark, sf):
     return as_text(cards_b(card_markup(postings(spark, sf)), BASE_URL))
 
 
-def card_markup_a(df: DataFrame) -> DataFrame:
+def card_of_a() -> Column:
+    """A posting as board A shows it, with a card that has no key after it."""
     e = lambda c: escaped(F.coalesce(F.col(c).cast("string"), F.lit("")))
     tags = F.array_join(F.transform("visible_tags", lambda t: F.concat(
         F.lit('<a data-responsive-tag-list-target="tag"><span>'), t, F.lit(" </span></a>"))), "\n")
-    html = F.concat(
+    return F.concat(
         F.lit('<div class="job-card" data-job-key="'), e("job_id"), F.lit('" data-search--job-selection-job-slug-value="s-'),
         F.lpad(F.col("position").cast("string"), 12, "0"),
         F.lit('"><span class="small-text text-dark-grey">'), e("posted_at"), F.lit('</span><h3><a href="'), e("job_url"), F.lit('#top">'),
@@ -379,7 +386,10 @@ def card_markup_a(df: DataFrame) -> DataFrame:
         tags, F.when(F.col("position") % 2 == 0, '<div class="small-text text-it-black fw-500"><ul><li>Lunch<li> <li>Gym</ul></div>').otherwise(""),
         F.lit('</div><div class="job-card">no key</div>'),
     )
-    return df.select(html.alias("html"), "source_page", F.col("scraped_at").cast("string").alias("scraped_at"))
+
+
+def card_markup_a(df: DataFrame) -> DataFrame:
+    return df.select(card_of_a().alias("html"), "source_page", F.col("scraped_at").cast("string").alias("scraped_at"))
 
 
 @query
@@ -569,6 +579,62 @@ def crawl_ledger_query(spark, sf):
     return crawl_ledger(rows, "crawl", "page", "job_id")
 
 
+PAGE_CARDS = 30
+
+
+def crawled_pages(spark: SparkSession, sf: str, card: Column) -> DataFrame:
+    """Listing pages of 30 cards, of one crawl per month: (month, page, pages, cards)."""
+    rows = postings(spark, sf).withColumn("month", F.date_format("scraped_at", "yyyy-MM"))
+    turn = F.row_number().over(Window.partitionBy("month").orderBy("job_id", "source_page", "position"))
+    rows = rows.select("month", turn.alias("turn"), card.alias("card")).withColumn("page", F.floor((F.col("turn") - 1) / PAGE_CARDS).cast("int") + 1)
+    cards = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "card"))), lambda c: c["card"]), "")
+    per_page = rows.groupBy("month", "page").agg(cards.alias("cards"))
+    return per_page.withColumn("pages", F.max("page").over(Window.partitionBy("month")))
+
+
+def sinks_of(done: ingest.Ingested, *columns: str) -> DataFrame:
+    """All results of an ingest as (sink, row)."""
+    def lines(name: str, df: DataFrame, *of: str) -> DataFrame:
+        return df.select(F.lit(name).alias("sink"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in of]).alias("row"))
+
+    return reduce(DataFrame.unionByName, [
+        lines("row", done.rows, *columns), lines("reject", done.rejects, "crawl_id", "asked_page", "reject_reason"),
+        lines("violation", done.violations, "crawl_id", "asked_page", "violation"), lines("beyond", done.beyond, "crawl_id", "asked_page"),
+        lines("ledger", done.ledger, "scraped_at", "source_page", "page_rows", "new_keys", "distinct_so_far"),
+    ])
+
+
+@query
+def ingest_b(spark, sf):
+    """Bodies of board B, some of them errors, some crawls breaking a rule midway, to rows and accounts."""
+    month, page = F.col("month"), F.col("page")
+    m = F.substring("month", 6, 2).cast("int")
+    html = F.concat(F.lit('<div class="job-list-search-result">'), F.col("cards"), F.lit("</div>"))
+    current = F.when((m == 5) & (page == 3), F.lit(9)).otherwise(page)
+    body = F.to_json(F.struct(
+        F.when(page % 5 == 2, F.lit("error")).otherwise(F.lit("success")).alias("status"),
+        F.struct(html.alias("html_job"), F.lit(7).alias("total"), F.when((m == 9) & (page == 4), F.lit(1)).otherwise(F.col("pages")).alias("total_page"), current.alias("current_page")).alias("data"),
+    ))
+    text = F.when(page == 1, F.concat(F.lit("1 / "), (F.col("pages") + F.when(m == 11, 1).otherwise(0)).cast("string"), F.lit(" trang")))
+    bodies = crawled_pages(spark, sf, full_card()).select(
+        month.alias("crawl_id"), page.alias("asked_page"), F.concat(month, F.lit("-28T01:02:03+00:00")).alias("scraped_at"), body.alias("body"), text.alias("page_text"))
+    done = ingest.ingest(spark, bodies, "b", shared_folder(spark), BASE_URL, order=["source_page", "tracking_id", "posted_time"])
+    return sinks_of(done, "job_id", "tracking_id", "title", "city", "job_url", "source_page", "scraped_at")
+
+
+@query
+def ingest_a(spark, sf):
+    """Bodies of board A, some of them broken, whose links tell fewer pages than were asked, to rows and accounts."""
+    month, page = F.col("month"), F.col("page")
+    links = F.concat(F.lit('<span class="page current">1</span><a href="?page='), F.greatest(F.col("pages") - 2, F.lit(1)).cast("string"), F.lit('">last</a>'))
+    whole = F.to_json(F.struct(F.col("cards").alias("jobs_html"), links.alias("pagination_html")))
+    body = F.when(page % 7 == 3, F.lit("[]")).when(page % 7 == 5, F.lit("{")).otherwise(whole)
+    bodies = crawled_pages(spark, sf, card_of_a()).select(
+        month.alias("crawl_id"), page.alias("asked_page"), F.concat(month, F.lit("-28T01:02:03+00:00")).alias("scraped_at"), body.alias("body"))
+    done = ingest.ingest(spark, bodies, "a", shared_folder(spark), BASE_URL, limit=20, order=["source_page", "slug", "posted_at"])
+    return sinks_of(done, "job_id", "slug", "title", "location", "job_url", "source_page", "scraped_at")
+
+
 # --- salaries --------------------------------------------------------------
 
 
