@@ -32,19 +32,20 @@ SKILLS = {
 _BORDER = "\x01"
 
 
-def _plain(text: Column) -> Column:
+def plain_words(text: Column) -> Column:
+    """Lower-cased text in which one space stands for what separates words."""
     return F.regexp_replace(F.lower(text), r"[\s,/()|]+", " ")
 
 
 def skill_text(title: Column) -> Column:
     """Title as ' word word '."""
-    return F.concat(F.lit(" "), _plain(null_to_blank(title)), F.lit(" "))
+    return F.concat(F.lit(" "), plain_words(null_to_blank(title)), F.lit(" "))
 
 
 def skill_text_of_tags(tags: Column) -> Column:
     """Tags with a border on both sides of each."""
     joined = F.array_join(F.coalesce(tags, F.array().cast("array<string>")), _BORDER)
-    return F.regexp_replace(F.concat(F.lit(_BORDER), _plain(joined), F.lit(_BORDER)), f" *{_BORDER} *", _BORDER)
+    return F.regexp_replace(F.concat(F.lit(_BORDER), plain_words(joined), F.lit(_BORDER)), f" *{_BORDER} *", _BORDER)
 
 
 def _mentions(text: Column, border: str, vocabulary: dict[str, str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.experience import parse_experience
@@ -42,7 +42,18 @@ def classify(
         "_level": seniority(F.col("_title_text"), F.col("_tag_text"), F.col("_exp_years")),
         "_skills": skills(F.col("_skill_title"), F.col("_skill_tags"), vocabulary),
     })
-    df = df.withColumn("_roles", F.when(F.size("_title_roles") > 0, F.col("_title_roles")).otherwise(F.col("_tag_roles")))
+    group = group_of_role(F.get(chosen_roles(), F.lit(0)), roles)
+    return classification(df, kept, group)
+
+
+def chosen_roles() -> Column:
+    """Roles of the title, else of the tags."""
+    return F.when(F.size("_title_roles") > 0, F.col("_title_roles")).otherwise(F.col("_tag_roles"))
+
+
+def classification(df: DataFrame, kept: list[str], group: Column) -> DataFrame:
+    """The nine columns from _title_roles, _tag_roles, _hint, _level, _exp_years, _skills and the primary role's group."""
+    df = df.withColumns({"_roles": chosen_roles(), "_group": group})
     df = df.withColumn("_primary", F.get("_roles", F.lit(0)))
     df = df.withColumn(
         "_status",
@@ -50,7 +61,7 @@ def classify(
     )
     return df.select(
         *kept,
-        F.coalesce(group_of_role(F.col("_primary"), roles), F.col("_hint")).alias("role_group"),
+        F.coalesce("_group", "_hint").alias("role_group"),
         F.col("_primary").alias("primary_role"),
         F.slice("_roles", F.lit(2), F.greatest(F.size("_roles") - 1, F.lit(0))).alias("secondary_roles"),
         F.col("_level").alias("seniority"),

@@ -50,7 +50,8 @@ def roles_from_table(df: DataFrame, text: str, mapping: DataFrame) -> DataFrame:
 
 def group_from_table(df: DataFrame, groups: DataFrame, role: str = "primary_role") -> DataFrame:
     """Add role_group from a (role, role_group) table; unknown roles get 'Other'."""
-    # Null roles stay out of the join, where they would meet in one task.
-    named = df.where(F.col(role).isNotNull()).join(groups.select(F.col("role").alias(role), "role_group"), role, "left")
-    rest = df.where(F.col(role).isNull()).withColumn("role_group", F.lit(None).cast("string"))
-    return named.withColumn("role_group", F.coalesce("role_group", F.lit("Other"))).unionByName(rest)
+    # Null roles match nothing; keys of their own keep them from meeting in one task, and the row is computed once.
+    own = F.concat(F.lit("\x00"), F.pmod(F.monotonically_increasing_id(), F.lit(256)).cast("string"))
+    keyed = df.withColumn("_role_key", F.coalesce(F.col(role), own))
+    found = keyed.join(groups.select(F.col("role").alias("_role_key"), "role_group"), "_role_key", "left").drop("_role_key")
+    return found.withColumn("role_group", F.when(F.col(role).isNotNull(), F.coalesce("role_group", F.lit("Other"))))

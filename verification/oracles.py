@@ -227,6 +227,12 @@ SELECT * EXCLUDE (roles, hint, mentions), roles[1] AS primary_role, coalesce({_G
     list_filter(mentions, lambda x, i: x IS NOT NULL AND list_position(mentions, x) = i) END AS skill_list
 FROM classified_base""")
 
+# With brands as further skills: the same definitions, one more lookup for tags.
+_BRAND = "CASE WHEN starts_with(lower(x), 'brand#') THEN 'Brand ' || x[7:8] END"
+_TAG_SKILL = f"{SKILL_MAP}[{_KEY.format('x')}]"
+cte("branded_base", NEEDS["classified_base"], CTES["classified_base"].replace(_TAG_SKILL, f"coalesce({_TAG_SKILL}, {_BRAND})"))
+cte("branded", ["branded_base"], CTES["classified"].replace("FROM classified_base", "FROM branded_base"))
+
 # --- cleaned tables ----------------------------------------------------------
 cte("clean_a", ["latest", "free_salary"], """
 SELECT l.*, f.* FROM latest l JOIN free_salary f ON coalesce(l.salary_freeform, '') = coalesce(f.free_text, '')
@@ -514,6 +520,10 @@ oracle("secondary_roles", ["classified"], f"SELECT {ROW}, array_to_string(second
 oracle("skills_normalize", ["classified"], f"SELECT {ROW}, array_to_string(skill_list, '|') AS skills FROM classified")
 oracle("classify_status", ["classified"], f"SELECT {ROW}, role_group, status AS parse_status, CAST(len(skill_list) AS INTEGER) AS n_skills FROM classified")
 
+oracle("classify_from_tables", ["branded"], f"""
+SELECT {ROW}, primary_role, array_to_string(secondary, '|') AS secondary_roles, role_group, array_to_string(skill_list, '|') AS skills, seniority,
+  status AS parse_status FROM branded""")
+
 _NUMBERS = "list_max(list_transform(regexp_extract_all(coalesce(experience, ''), '[0-9]+'), lambda x: CAST(x AS DOUBLE)))"
 _ROWKEY = "job_id || '/' || source_page || '/' || position || '/' || CAST(scraped_at AS VARCHAR) AS row_key"
 oracle("enrich_partitions", ["postings"], f"SELECT {_ROWKEY}, {_NUMBERS} AS years, 'success' AS status, CAST(NULL AS VARCHAR) AS message FROM postings")

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from hirelake.functions import urls
 from hirelake.functions.experience import experience_error, parse_experience
 from hirelake.functions.replies import decode_classification, decode_salary, prompt_record
-from hirelake.functions.roles import ROLES
+from hirelake.functions.roles import GROUP_PHRASES, ROLES
 from hirelake.functions.salary_freeform import parse_freeform_salary
+from hirelake.functions.skills import SKILLS
 from hirelake.functions.salary_token import flatten_salary, parse_salary
 from hirelake.functions.tags import normalized_tags
 from hirelake.functions.text import clean_or_blank, clean_or_null, drop_prefix_ci, first_present
@@ -24,6 +25,7 @@ from hirelake.operators import html_columns
 from hirelake.operators.answers import CallPlan, answers_schema, enrich_known
 from hirelake.operators.board_cards import cards_a, cards_b, classes_of, first_class_with_prefix, nonempty_texts
 from hirelake.operators.classify import classify
+from hirelake.operators.classify_tables import classify_from_tables
 from hirelake.operators.crawl import crawl_ledger, crawl_violations
 from hirelake.operators.dedup import keep_latest, keep_latest_by_fallback
 from hirelake.operators.enrich import enrich
@@ -748,6 +750,24 @@ def classify_status(spark, sf):
     return as_text(classified(spark, sf).select(*ROW, "role_group", "parse_status", F.size("skills").alias("n_skills")))
 
 
+def mapping_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Role, hint and skill tables: the fixed ones, and as many phrases again as there are parts and customers."""
+    roles = spark.createDataFrame([(p, r.name, r.group, i) for i, r in enumerate(ROLES) for p in r.phrases], "phrase string, role string, role_group string, priority int")
+    named = table(spark, sf, "part").select(F.concat(F.lower(F.trim(F.regexp_replace("p_name", "[^A-Za-z ]+", " "))), F.lit(" engineer")).alias("phrase"))
+    more = named.distinct().select("phrase", F.concat(F.lit("Maker of "), "phrase").alias("role"), F.lit("Other").alias("role_group"), F.lit(1000).alias("priority"))
+    hints = spark.createDataFrame([(p, g, i) for i, (g, ps) in enumerate(GROUP_PHRASES.items()) for p in ps], "phrase string, role_group string, priority int")
+    skills = spark.createDataFrame(list(SKILLS.items()), "mention string, skill string")
+    brands = table(spark, sf, "part").select(F.lower("p_brand").alias("mention"), F.concat(F.lit("Brand "), F.substring("p_brand", 7, 2)).alias("skill")).distinct()
+    return roles.unionByName(more), hints, skills.unionByName(brands)
+
+
+@named("classify_from_tables")
+def classify_from_tables_query(spark, sf):
+    """Roles, groups and skills by mapping tables that grow with the data, every column of the result."""
+    rows = classify_from_tables(postings(spark, sf), *mapping_tables(spark, sf))
+    return as_text(rows.select(*ROW, "primary_role", "secondary_roles", "role_group", "skills", "seniority", "parse_status"))
+
+
 # --- enrichment ------------------------------------------------------------
 
 YEARS = T.StructType([
