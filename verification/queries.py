@@ -539,9 +539,12 @@ def url_match(spark, sf):
 def page_count(spark, sf):
     """Paging markup made from each posting; the limit applied to the count found."""
     n, m = F.col("source_page").cast("string"), (F.col("position") % 90 + 1).cast("string")
+    q = F.when(F.col("position") % 3 == 0, F.lit("'")).otherwise(F.lit('"'))
+    # Quotes of both kinds, encoded values, a comment, a script, more class names, values with a '>'.
     html = F.concat(
-        F.lit('<nav><span class="page current"> '), n, F.lit('</span><a href="/j?q=1&amp;page='), m,
-        F.lit('">next</a><a class="p" href="/j?page=x"> <b>'), F.col("source_page").cast("string"), F.lit('</b> </a><a href="/j">'),
+        F.lit("<nav><!-- <a href='?page=999'>999</a> --><span class="), q, F.lit("page-item page current"), q, F.lit("> "), n, F.lit("</span><script>var a = '<a href=\"?page=998\">';</script><a title="), q,
+        F.lit("a > b"), q, F.lit(" href="), q, F.lit("/j?q=1&amp;page="), F.when(F.col("position") % 4 == 0, F.concat(F.lit("%3"), F.substring(m, 1, 1), F.substring(m, 2, 9))).otherwise(m), q,
+        F.lit('>next</a><a class="p" href="/j?page=x"> <b>'), n, F.lit('</b> </a><a href="/j">'),
         F.when(F.col("position") % 5 == 0, "95").otherwise("more"), F.lit("</a></nav>"),
     )
     rows = postings(spark, sf).withColumn("total_pages", urls.page_count_from_links(html))
