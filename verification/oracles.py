@@ -294,6 +294,8 @@ _ALL = f"""job_id, title, salary, experience, array_to_string(visible_tags, '|')
 _SMALL = """job_id, title, salary, array_to_string(visible_tags, '|') AS visible_tags, city, source_page, position,
   CAST(scraped_at AS VARCHAR) AS scraped_at"""
 oracle("scan_day_snapshot", ["postings"], f"SELECT {_ALL} FROM postings")
+oracle("scan_day_range", ["postings"], f"""
+SELECT {_SMALL}, CAST(DATE '2024-02-27' + CAST(year(scraped_at) - 1992 AS INTEGER) AS VARCHAR) AS day FROM postings WHERE year(scraped_at) BETWEEN 1993 AND 1995""")
 oracle("page_response_decode", [], """
 SELECT page_id, CASE WHEN ok THEN md5(html) END AS html_md5,
   CASE WHEN ok THEN CASE WHEN k = 7 THEN 0 ELSE page_id END END AS total,

@@ -42,7 +42,7 @@ from hirelake.schemas import CLEAN_A, CLEAN_B, RAW_A
 from hirelake.sources.bucketed import BucketedTable
 from hirelake.sources.csv_export import read_csv, write_csv
 from hirelake.sources.responses import decode_fragments, decode_listing
-from hirelake.sources.snapshots import read_day, write_snapshot
+from hirelake.sources.snapshots import read_day, read_days, write_snapshot
 from hirelake.sources.tables import materialize
 from hirelake.sources.versioned import VersionedTable
 from hirelake.sources.workspace import shared_folder
@@ -132,6 +132,17 @@ def scan_day_snapshot(spark, sf):
     return as_text(read_day(spark, root, DAY, rows.schema))
 
 
+@query
+def scan_day_range(spark, sf):
+    """Snapshots of seven days, of which the middle ones are read."""
+    rows = as_small(postings(spark, sf)).withColumn("scraped_at", F.col("scraped_at").cast("string"))
+    root = shared_folder(spark)
+    for i in range(7):
+        write_snapshot(rows.where(F.year("scraped_at") == 1992 + i), root, dt.date(2024, 2, 27) + dt.timedelta(days=i))
+    read = read_days(spark, root, dt.date(2024, 2, 28), dt.date(2024, 3, 1), rows.schema)
+    return as_text(read.withColumn("day", F.col("day").cast("string")))
+
+
 @query
 def page_response_decode(spark, sf):
     """Bodies of eight kinds made from `pages`, then decoded and validated."""
