@@ -136,63 +136,92 @@ def fit(texts: list[str], labels: np.ndarray, plan: ToxicPlan) -> ToxicModel:
         return ToxicModel(flat, 0.0, 1.0, 20.0 if len(y) and y[0] else -20.0)
     n = len(texts)
     # A slice at a time, so that only words' numbers and the distinct words' bytes are kept.
-    docs, hashes, known, kept = [], [], np.zeros(0, np.uint64), []
-    for at, _, data, offsets in text_slices(pa.array(texts), 1 << 19):
+    counts, hashes, known, kept = np.zeros(n, np.int64), [], np.zeros(0, np.uint64), []
+    for at, end_row, data, offsets in text_slices(pa.array(texts), 1 << 19):
         starts, ends, doc = words(data, offsets)
         h = word_hashes(data, starts, ends)
-        docs.append((doc + at).astype(np.int32))
+        counts[at:end_row] = np.bincount(doc, minlength=end_row - at)
         hashes.append(h)
         fresh, where = np.unique(h, return_index=True)
         new = ~np.isin(fresh, known)
         known = np.union1d(known, fresh[new])
         kept += [(int(k), data[starts[i]:ends[i]].tobytes()) for k, i in zip(fresh[new], where[new])]
-    doc = np.concatenate(docs)
-    kinds, kind = np.unique(np.concatenate(hashes), return_inverse=True)
-    kind = kind.astype(np.int32)
+    kinds, parts = known, []
+    while hashes:
+        parts.append(np.searchsorted(kinds, hashes.pop(0)).astype(np.int32))
+    kind = np.concatenate(parts)
+    begin = np.concatenate([[0], np.cumsum(counts)])
+    del parts, known
     kept.sort()
-    del hashes, known
-    whos, buckets = [], []
-    for at, _, data, offsets in text_slices(pa.array([w.decode("utf-8", "replace") for _, w in kept]), 1 << 19):
-        parts = [((w + at).astype(np.int32), b.astype(np.int32)) for w, b in word_grams(data, offsets[:-1], offsets[1:], plan)]
+    distinct = pa.array([w.decode("utf-8", "replace") for _, w in kept])
+    del kept
+    per_type, buckets = [], []
+    for _, end_row, data, offsets in text_slices(distinct, 1 << 19):
+        parts = [(w.astype(np.int32), b.astype(np.int32)) for w, b in word_grams(data, offsets[:-1], offsets[1:], plan)]
         w, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        order = np.argsort(w, kind="stable")
-        whos.append(w[order])
-        buckets.append(b[order])
-    who, bucket = np.concatenate(whos), np.concatenate(buckets)
+        buckets.append(b[np.argsort(w, kind="stable")])
+        per_type.append(np.bincount(w, minlength=len(offsets) - 1))
     n_types = len(kinds)
-    del whos, buckets, kept
-    n_grams = np.bincount(who, minlength=n_types)
+    del distinct, parts, w, b
+    n_grams, bucket = np.concatenate(per_type), np.concatenate(buckets)
     gram_at = np.concatenate([[0], np.cumsum(n_grams)])
+    del per_type, buckets
+
+    def type_blocks() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """(words, word of each gram counted from the first, bucket of each gram), 2**14 words at a time."""
+        for t in range(0, n_types, 1 << 14):
+            part = slice(t, min(t + (1 << 14), n_types))
+            yield part, np.repeat(np.arange(part.stop - t), n_grams[part]), bucket[gram_at[t]:gram_at[part.stop]]
 
     def type_scores(gram: np.ndarray) -> np.ndarray:
         total = np.zeros(n_types)
-        for at in range(0, len(who), 1 << 19):
-            part = who[at:at + (1 << 19)]
-            total[part[0]:part[-1] + 1] += np.bincount(part - part[0], gram[bucket[at:at + (1 << 19)]])
+        for part, who, grams in type_blocks():
+            total[part] = np.bincount(who, gram[grams], part.stop - part.start)
         return total / np.maximum(n_grams, 1)
 
-    seen = np.unique(doc.astype(np.int64) * n_types + kind)
-    seen_doc, seen_kind = seen // n_types, (seen % n_types).astype(np.int32)
-    by_class = []
-    for c in (0, 1):
-        in_docs = np.bincount(seen_kind[y[seen_doc] == c], minlength=n_types)
-        by_class.append(sum(np.bincount(bucket[a:a + (1 << 19)], in_docs[who[a:a + (1 << 19)]], plan.buckets) for a in range(0, len(who), 1 << 19)))
-    del seen, seen_doc, seen_kind
+    # Texts are taken a block of about 2**16 words at a time, here and in each round.
+    blocks = [0]
+    while blocks[-1] < n:
+        blocks.append(max(blocks[-1] + 1, int(np.searchsorted(begin, begin[blocks[-1]] + (1 << 16), "right")) - 1))
+
+    def of_block(i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(i, j), counts[i:j]), kind[begin[i]:begin[j]]
+
+    in_docs = np.zeros((2, n_types))
+    for i, j in zip(blocks, blocks[1:]):
+        own, k = of_block(i, j)
+        seen = np.unique(own * n_types + k)
+        for c in (0, 1):
+            in_docs[c] += np.bincount(seen[y[seen // n_types] == c] % n_types, minlength=n_types)
+    by_class = np.zeros((2, plan.buckets))
+    for part, who, grams in type_blocks():
+        for c in (0, 1):
+            by_class[c] += np.bincount(grams, in_docs[c][part][who], plan.buckets)
     gram = np.log((by_class[1] + 1) / (y.sum() + 2)) - np.log((by_class[0] + 1) / ((1 - y).sum() + 2))
-    first, end = windows(doc, n, plan.window)
-    own = doc[first]
-    by_doc = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=n))])
+    del in_docs, by_class
+
+    def window_scores(gram: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(text, scores of its windows), of texts with words; window k begins at word k."""
+        of_type = type_scores(gram)
+        for i, j in zip(blocks, blocks[1:]):
+            own, k = of_block(i, j)
+            first, end = windows(own - i, j - i, plan.window)
+            mean = _means(unrepeated(of_type[k], k, own, plan.window), first, end)
+            by_doc = np.concatenate([[0], np.cumsum(np.bincount(own[first] - i, minlength=j - i))])
+            for d in range(i, j):
+                if counts[d]:
+                    yield d, mean[by_doc[d - i]:by_doc[d - i + 1]]
+
     vec = (rng.standard_normal((plan.buckets, plan.dims)) * 0.1).astype(np.float32)
     soft = (rng.standard_normal((plan.dims, 2)) * 0.5).astype(np.float32)
     bias = np.zeros(2, np.float32)
     g_vec, g_soft, g_bias = np.full(plan.buckets, 1e-3, np.float32), np.full_like(soft, 1e-3), np.full(2, 1e-3, np.float32)
     rate = 0.5
 
-    def batch(chosen: np.ndarray, target: np.ndarray) -> None:
+    def batch(first: np.ndarray, size: np.ndarray, target: np.ndarray) -> None:
         nonlocal soft, bias, g_soft, g_bias
-        size = end[chosen] - first[chosen]
-        win = np.repeat(np.arange(len(chosen)), size)
-        word = np.arange(len(win)) - np.repeat(np.cumsum(size) - size, size) + first[chosen][win]
+        win = np.repeat(np.arange(len(first)), size)
+        word = np.arange(len(win)) - np.repeat(np.cumsum(size) - size, size) + first[win]
         k = kind[word]
         reps = n_grams[k]
         of_word = np.repeat(np.arange(len(word)), reps)
@@ -201,7 +230,7 @@ def fit(texts: list[str], labels: np.ndarray, plan: ToxicPlan) -> ToxicModel:
         rows, place = np.unique(g, return_inverse=True)
         cell = win[of_word] * len(rows) + place
         # Window by n-gram weights: small and dense, so that both passes are matrix products.
-        dense = np.bincount(cell, weight, len(chosen) * len(rows)).reshape(len(chosen), len(rows)).astype(np.float32)
+        dense = np.bincount(cell, weight, len(first) * len(rows)).reshape(len(first), len(rows)).astype(np.float32)
         x = dense @ vec[rows]
         z = x @ soft + bias
         p = np.exp(z - z.max(1, keepdims=True))
@@ -218,31 +247,28 @@ def fit(texts: list[str], labels: np.ndarray, plan: ToxicPlan) -> ToxicModel:
         bias = bias - 0.1 * up_bias / np.sqrt(g_bias)
 
     for _ in range(plan.rounds):
-        score = _means(unrepeated(type_scores(gram)[kind], kind, doc, plan.window), first, end)
-        chosen, target = [], []
-        for i in range(n):
-            a, b = by_doc[i], by_doc[i + 1]
-            if a == b:
-                continue
-            s = score[a:b]
+        chosen, size, target = [], [], []
+        for i, s in window_scores(gram):
             best = int(s.argmax())
             if y[i]:
                 likely = np.flatnonzero(s >= s[best] - 0.5 * max(abs(s[best]), 1e-6))
                 picks = [best, *rng.choice(likely, 2)]
             else:
                 picks = [best, *rng.integers(0, len(s), 2)]
-            chosen += [a + q for q in picks]
+            chosen += [begin[i] + q for q in picks]
+            size += [min(plan.window, counts[i])] * len(picks)
             target += [y[i]] * len(picks)
-        chosen, target = np.array(chosen), np.array(target)
+        chosen, size, target = np.array(chosen), np.array(size), np.array(target)
         for _ in range(plan.epochs):
             mixed = rng.permutation(len(chosen))
             for at in range(0, len(mixed), 32):
                 part = mixed[at:at + 32]
-                batch(chosen[part], target[part])
+                batch(chosen[part], size[part], target[part])
         gram = (vec @ (soft[:, 1] - soft[:, 0])).astype(np.float64)
     intercept = float(bias[1] - bias[0])
     worst = np.full(n, -30.0)
-    np.maximum.at(worst, own, _means(unrepeated(type_scores(gram)[kind], kind, doc, plan.window), first, end) + intercept)
+    for i, s in window_scores(gram):
+        worst[i] = max(-30.0, s.max() + intercept)
     scale, shift = _logistic(worst, y)
     return ToxicModel(gram.astype(np.float32), intercept, scale, shift)
 
