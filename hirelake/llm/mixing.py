@@ -139,7 +139,7 @@ def mix(docs: DataFrame, plan: MixPlan = MixPlan(), keep_text: bool = False) ->
     key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
     order = F.xxhash64(F.lit(plan.seed), "doc_id", text)
     rows = docs.select(
-        *([c for c in docs.columns if c not in ("row", "key", "size", "order", "bin")] if keep_text else ["doc_id", "source"]),
+        "doc_id", "source", *([F.struct(*docs.columns).alias("given")] if keep_text else []),
         F.monotonically_increasing_id().alias("row"), key.alias("key"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         order.alias("order"), F.shiftrightunsigned(order, 52).cast("int").alias("bin"),
     )
@@ -186,14 +186,14 @@ def mixed_documents(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
 
     A pass that takes a whole document keeps its text as it is; else the taken
     ranges keep the white space before each word, and a line break joins ranges
-    that do not touch. Rows without words are never taken. Columns that are named
-    like the operator's own (row, key, size, order, bin) are left out.
+    that do not touch. Rows without words are never taken. Columns may have any other
+    names, those of the operator's own columns too.
     """
     rows, _, _, pieces = mix(docs, plan, keep_text=True)
     ranges = pieces.where("pass is not null").groupBy("row", "pass").agg(
         F.array_sort(F.collect_list(F.struct("from", "to"))).alias("ranges"), F.sum(F.col("to") - F.col("from")).alias("n"), F.first("size").alias("of"),
     )
-    partial = F.when(F.col("n") < F.col("of"), F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)))
+    partial = F.when(F.col("n") < F.col("of"), F.regexp_extract_all(F.col("given.text").cast("string"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)))
     # Fixed before the lambda below reads it, which would else evaluate it for each range.
     joined = evaluated_once(rows.join(ranges, "row").withColumn("mix_words", partial), "mix_words")
     words = F.col("mix_words")
@@ -204,7 +204,9 @@ def mixed_documents(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
     glued = F.aggregate(some, empty, lambda acc, r: F.struct(
         r["to"].alias("to"), F.when(acc["to"] < 0, r["text"]).when(acc["to"] == r["from"], F.concat(acc["text"], r["text"])).otherwise(F.concat(acc["text"], F.lit("\n"), r["text"])).alias("text"),
     ), lambda acc: acc["text"])
-    out = joined.withColumn("text", F.when(F.col("n") == F.col("of"), F.col("text")).otherwise(F.regexp_replace(glued, r"^[\x20\x09-\x0D]+", "")))
+    text = F.when(F.col("n") == F.col("of"), F.col("given.text").cast("string")).otherwise(F.regexp_replace(glued, r"^[\x20\x09-\x0D]+", ""))
+    out = evaluated_once(joined.withColumn("mix_text", text).select("given", "mix_text"), "mix_text")
+    fresh = {"text": F.col("mix_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[c for c in docs.columns if c in rows.columns and c not in ("row", "key", "size", "order", "bin")])
+        fresh["n_chars"] = F.char_length("mix_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[fresh.get(c, F.col("given")[c]).alias(c) for c in docs.columns])

@@ -79,7 +79,13 @@ def test_permutation_and_inverse(spark):
 def test_texts_of_the_mix(docs):
     plan = MixPlan(block=16, shard_slots=8)
     out = mixed_documents(docs, plan)
-    assert set(out.columns) == set(docs.columns) - {"size"}
+    assert out.columns == docs.columns
+    assert {(r["size"], r.weight) for r in out.collect()} <= {("own", "own"), ("", "")}
+    names = {"weight": "row", "size": "key", "lang": "order"}
+    other = docs.withColumnsRenamed(names).withColumns({"bin": F.lit(1), "size": F.lit("own"), "n": F.lit(2), "of": F.lit(3), "given": F.lit(4), "mix_text": F.lit(5)})
+    again = mixed_documents(other, plan)
+    assert again.columns == other.columns and again.count() == out.count()
+    assert {(r.bin, r["size"], r.n, r.of, r.given, r.mix_text) for r in again.collect()} == {(1, "own", 2, 3, 4, 5)}
     counts = {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(WORD.pattern))).alias("n")).collect()}
     taken = {r.doc_id: r.n for r in taken_words(docs, plan).groupBy("doc_id").agg(F.sum("taken").alias("n")).collect()}
     assert counts == {k: v for k, v in taken.items() if v}
