@@ -2,7 +2,7 @@
 
 A text is cut into units that no piece crosses (before a run of spaces, around line
 breaks, and within a unit of thousands of characters). A unit's pieces form a lattice; forward sums over it are filtered once per
-distinct unit of a batch, and every occurrence samples its own path backwards,
+distinct unit and kept by the task, and every occurrence samples its own path backwards,
 with random numbers that depend on the seed, the row's key and the place alone.
 """
 
@@ -24,6 +24,8 @@ LITERAL = 0x110000  # stands for a U+2581 of the text itself, which goes byte by
 LONG = 48  # units above it are summed in logarithms, one by one
 MOST = 4096  # no piece crosses a cut after so many characters of one unit
 BLOCK = 400_000  # characters whose units are sampled together
+KEPT = 450_000  # characters of units whose sums a task keeps; more than a block has
+NEAR = 0x800  # characters below it are numbered by a table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -88,20 +90,31 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
 
 
+def _numbers(cp: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """The number of each character in the trie, 0 for those of no piece."""
+    j = np.minimum(np.searchsorted(v.chars, cp), len(v.chars) - 1)
+    return np.where(v.chars[j] == cp, j + 1, 0)
+
+
 def _edges(code: np.ndarray, room: np.ndarray, v: Vocabulary) -> np.ndarray:
-    """Piece ids (longest x characters, -1 for none) of the pieces that begin at each place and fit."""
-    found = np.full((v.longest, len(code)), -1, np.int32)
-    at, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+    """Piece ids (characters x longest, -1 for none) of the pieces that end at each place, by length; `room` is left in the unit."""
+    found = np.full((len(code), v.longest), -1, np.int32)
+    first = int(np.searchsorted(v.keys, 1 << 20))  # the root's edges come first
+    root = np.zeros(len(v.chars) + 1, np.int64)
+    root[v.keys[:first]] = v.child[:first]
+    at, node = np.arange(len(code)), root[code]
+    at, node = at[node > 0], node[node > 0]
     for k in range(v.longest):
-        fits = k < room[at]
-        at, node = at[fits], node[fits]
+        if k:
+            fits = k < room[at]
+            at, node = at[fits], node[fits]
+            key = node << 20 | code[at + k]
+            j = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
+            hit = v.keys[j] == key
+            at, node = at[hit], v.child[j[hit]]
         if not len(at):
             break
-        key = node << 20 | code[at + k]
-        j = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-        hit = v.keys[j] == key
-        at, node = at[hit], v.child[j[hit]]
-        found[k, at] = v.piece_of[node]
+        found[at + k, k] = v.piece_of[node]
     return found
 
 
@@ -117,12 +130,12 @@ def _uniform(state: np.ndarray) -> np.ndarray:
 
 def _long_path(weights: np.ndarray, first: int, size: int, seeds: np.ndarray) -> list[int]:
     """Ends (relative) of one sampled path of a long unit; sums are kept as logarithms."""
-    longest = len(weights)
+    longest = weights.shape[1]
     alpha = [0.0] * (size + 1)
-    w = [weights[k, first:first + size].tolist() for k in range(longest)]
+    w = weights[first:first + size].tolist()
     options: list[list[tuple[int, float]]] = [[]] * (size + 1)
     for e in range(1, size + 1):
-        terms = [(k, alpha[e - k] + math.log(w[k - 1][e - k])) for k in range(1, min(longest, e) + 1) if w[k - 1][e - k] > 0]
+        terms = [(k, alpha[e - k] + math.log(w[e - 1][k - 1])) for k in range(1, min(longest, e) + 1) if w[e - 1][k - 1] > 0]
         top = max(t for _, t in terms)
         parts = [(k, math.exp(t - top)) for k, t in terms]
         alpha[e] = top + math.log(sum(p for _, p in parts))
@@ -139,8 +152,9 @@ def _long_path(weights: np.ndarray, first: int, size: int, seeds: np.ndarray) ->
     return out
 
 
-def encode_slice(data: np.ndarray, offsets: np.ndarray, row_seed: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(piece ids of all texts, number of pieces of each)."""
+def encode_slice(data: np.ndarray, offsets: np.ndarray, row_seed: np.ndarray, v: Vocabulary, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(piece ids of all texts, number of pieces of each); `known` keeps units from slice to slice."""
+    known = known or Known()
     cp = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
     n = len(cp)
     n_docs = len(offsets) - 1
@@ -148,11 +162,12 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, row_seed: np.ndarray, v:
         return np.zeros(0, np.int32), np.zeros(n_docs, np.int64)
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     begin = lead[offsets]
-    doc = np.searchsorted(begin, np.arange(n), "right") - 1
+    doc = np.repeat(np.arange(n_docs), np.diff(begin))
     cp[cp == SPACE] = LITERAL
     cp[cp == 0x20] = SPACE
-    j = np.minimum(np.searchsorted(v.chars, cp), len(v.chars) - 1)
-    code = np.where(v.chars[j] == cp, j + 1, 0)
+    code = _numbers(np.arange(NEAR), v)[np.minimum(cp, NEAR - 1)]
+    far = np.flatnonzero(cp >= NEAR)
+    code[far] = _numbers(cp[far], v)
     # Units: before a run of spaces, and on both sides of a line break.
     cut = np.zeros(n + 1, bool)
     cut[begin] = True
@@ -171,7 +186,7 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, row_seed: np.ndarray, v:
     blocks = np.searchsorted(edge, np.arange(0, n, BLOCK))
     for a, b in zip(blocks, [*blocks[1:], len(edge) - 1]):
         if b > a:
-            _sample_units(cp, code, edge[a:b], np.diff(edge[a:b + 1]), seed_at, piece_at, v)
+            _sample_units(cp, code, edge[a:b], np.diff(edge[a:b + 1]), seed_at, piece_at, v, known)
     # Pieces in order; characters without piece become their bytes.
     where = np.flatnonzero(piece_at > -2)
     ids = piece_at[where]
@@ -185,69 +200,112 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, row_seed: np.ndarray, v:
     return out.astype(np.int32), np.bincount(doc[where], raw, n_docs).astype(np.int64)
 
 
-def _sample_units(cp: np.ndarray, code: np.ndarray, first: np.ndarray, size: np.ndarray, seed_at: np.ndarray, piece_at: np.ndarray, v: Vocabulary) -> None:
+class Known:
+    """Lattices of the short units that a task has met, with their forward sums; bounded by `KEPT` characters.
+
+    Units are told apart by a hash of their characters and length. When a
+    block's new units do not fit, all are forgotten and the block's are computed anew.
+    Each character has a row: the pieces that end at it by length, and the running
+    sum, by length of that piece, of the paths up to its end.
+    """
+
+    def __init__(self) -> None:
+        self.hashes, self.base, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        self.pid, self.total = np.zeros((0, 0), np.int32), np.zeros((0, 0))
+
+    def bases(self, h: np.ndarray, cp: np.ndarray, code: np.ndarray, first: np.ndarray, size: np.ndarray, v: Vocabulary) -> np.ndarray:
+        """The first row of each unit [first, first + size) of (different) hash `h`."""
+        new = self._new(h)
+        if self.used + int(size[new].sum()) > KEPT:
+            self.hashes, self.base, self.used = self.hashes[:0], self.base[:0], 0
+            new = np.ones(len(h), bool)
+        if new.any():
+            self._add(h[new], cp, code, first[new], size[new], v)
+        return self.base[np.searchsorted(self.hashes, h)]
+
+    def _new(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(h), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)] != h
+
+    def _add(self, h: np.ndarray, cp: np.ndarray, code: np.ndarray, first: np.ndarray, size: np.ndarray, v: Vocabulary) -> None:
+        order = np.argsort(-size, kind="stable")  # long ones first, so that the k longest are a prefix
+        h, first, size = h[order], first[order], size[order]
+        chars = _ragged(first, size)
+        base = np.cumsum(size) - size
+        pid, w = _weights(cp, code, chars, np.repeat(base + size, size) - np.arange(len(chars)), v)
+        # Forward sums by place in the unit; a power of 1000 a character keeps them in range.
+        w *= 1000.0 ** np.arange(1, v.longest + 1)
+        total = np.empty_like(w)
+        gap = v.longest  # zeros before each unit, so that every place has as many sums before it
+        alpha = np.zeros(len(chars) + (gap + 1) * len(size))
+        slot = base + (gap + 1) * np.arange(len(size)) + gap  # alpha of unit i starts at slot[i]
+        alpha[slot] = 1.0
+        before = np.lib.stride_tricks.sliding_window_view(alpha, gap)[:, ::-1]
+        for p in range(1, int(size[0]) + 1):
+            live = int(np.searchsorted(-size, -p, "right"))
+            last, here = base[:live] + p - 1, slot[:live] + p
+            sums = np.cumsum(before[here - gap] * w[last], axis=1)
+            total[last] = sums
+            alpha[here] = sums[:, -1]
+        end = self.used + len(chars)
+        if end > len(self.total):
+            room = max(min(2 * end, KEPT), end)
+            self.pid = np.concatenate([self.pid[:self.used].reshape(-1, v.longest), np.zeros((room - self.used, v.longest), np.int32)])
+            self.total = np.concatenate([self.total[:self.used].reshape(-1, v.longest), np.zeros((room - self.used, v.longest))])
+        self.pid[self.used:end], self.total[self.used:end] = pid, total
+        every = np.concatenate([self.hashes, h])
+        sort = np.argsort(every, kind="stable")
+        self.hashes, self.base = every[sort], np.concatenate([self.base, base + self.used])[sort]
+        self.used = end
+
+
+def _weights(cp: np.ndarray, code: np.ndarray, chars: np.ndarray, room: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(piece ids, weights) by length of the pieces that end at each of `chars`; a character without piece goes by bytes."""
+    pid = _edges(code[chars], room, v)
+    w = np.append(v.weight, 0.0)[pid]  # -1 is the last one
+    no_piece = pid[:, 0] < 0
+    w[no_piece, 0] = v.byte_weight ** _bytes_of(cp[chars[no_piece]])
+    return pid, w
+
+
+def _sample_units(cp: np.ndarray, code: np.ndarray, first: np.ndarray, size: np.ndarray, seed_at: np.ndarray, piece_at: np.ndarray, v: Vocabulary, known: Known) -> None:
     """Sample a path for each unit [first, first + size) and note its pieces in `piece_at` (-1: by bytes)."""
+    short = size <= LONG
+    if short.any():
+        _sample_short(cp, code, first[short], size[short], seed_at, piece_at, v, known)
+    if not short.all():
+        first, size = first[~short], size[~short]
+        base = np.cumsum(size) - size
+        pid, w = _weights(cp, code, _ragged(first, size), np.repeat(base + size, size) - np.arange(int(size.sum())), v)
+        for a, b, m in zip(first.tolist(), base.tolist(), size.tolist()):
+            ends = _long_path(w, b, m, seed_at[a:a + m])
+            for e, s in zip(ends, [*ends[1:], 0]):
+                piece_at[a + e - 1] = pid[b + e - 1, e - s - 1]
+
+
+def _sample_short(cp: np.ndarray, code: np.ndarray, first: np.ndarray, size: np.ndarray, seed_at: np.ndarray, piece_at: np.ndarray, v: Vocabulary, known: Known) -> None:
     # Distinct units, by a hash of their characters.
     where = _ragged(first, size)
-    spread = mix(cp[where].astype(np.uint64) + U64(1))
     head = np.cumsum(size) - size
     within = np.arange(len(where)) - np.repeat(head, size)
-    h = np.add.reduceat(spread * (mix(within.astype(np.uint64)) | U64(1)), head) + size.astype(np.uint64)
-    _, pick, kind = np.unique(h, return_index=True, return_inverse=True)
-    t_first, t_size = first[pick], size[pick]
-    order = np.argsort(-t_size, kind="stable")  # long ones first, so that the k longest are a prefix
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    kind, t_first, t_size = back[kind], t_first[order], t_size[order]
-    chars = _ragged(t_first, t_size)
-    base = np.cumsum(t_size) - t_size
-    room = np.repeat(base + t_size, t_size) - np.arange(len(chars))
-    pid = _edges(code[chars], room, v)
-    w = np.where(pid >= 0, v.weight[np.maximum(pid, 0)], 0.0)
-    no_piece = pid[0] < 0
-    w[0, no_piece] = v.byte_weight ** _bytes_of(cp[chars[no_piece]])
-    # Short units: forward sums by place in the unit; a power of 1000 a character keeps them in range.
-    short = t_size <= LONG
-    n_long = int((~short).sum())
-    scaled = w * (1000.0 ** np.arange(1, v.longest + 1))[:, None]
-    alpha = np.zeros(len(chars) + len(t_size))
-    slot = base + np.arange(len(t_size))  # alpha of unit i starts at slot[i]
-    alpha[slot] = 1.0
-    total = np.zeros((v.longest, len(chars)), np.float64)
-    sizes = t_size[n_long:]
-    for p in range(1, int(sizes[0]) + 1 if len(sizes) else 1):
-        live = n_long + int(np.searchsorted(-sizes, -p, "right"))
-        b, s = base[n_long:live], slot[n_long:live]
-        run = np.zeros(live - n_long)
-        for k in range(1, v.longest + 1):
-            if k <= p:
-                run = run + alpha[s + p - k] * scaled[k - 1, b + p - k]
-            total[k - 1, b + p - 1] = run
-        alpha[s + p] = run
-    # Backward, all occurrences at once: `end` is the place after the piece to draw.
-    every = np.flatnonzero(short[kind])
-    left, start, local = size[every].copy(), first[every], base[kind[every]]
+    place_weight = mix(np.arange(LONG, dtype=np.uint64)) | U64(1)
+    spread = mix(cp[where].astype(np.uint64) + U64(1))
+    h = np.add.reduceat(spread * place_weight[within], head) + size.astype(np.uint64)
+    h, pick, kind = np.unique(h, return_index=True, return_inverse=True)
+    local = known.bases(h, cp, code, first[pick], size[pick], v)[kind]
+    # Backward, all occurrences at once: the place after the piece to draw is start + left.
+    left, start = size, first
     while len(left):
         last = local + left - 1
         place = start + left - 1
-        u = _uniform(seed_at[place])
-        target = u * total[-1, last]
-        k = np.ones(len(left), np.int64)
-        for i in range(v.longest - 1):
-            more = total[i, last] < target
-            if not more.any():
-                break
-            k += more
-        piece_at[place] = pid[k - 1, last - k + 1]
-        piece_at[place[piece_at[place] < 0]] = -1
+        sums = known.total[last]
+        target = _uniform(seed_at[place]) * sums[:, -1]
+        k = 1 + (sums[:, :-1] < target[:, None]).sum(1)
+        piece_at[place] = known.pid[last, k - 1]
         left = left - k
         go = left > 0
         left, start, local = left[go], start[go], local[go]
-    for o in np.flatnonzero(~short[kind]):
-        i, a, m = kind[o], first[o], size[o]
-        ends = _long_path(w, base[i], m, seed_at[a:a + m])
-        for e, s in zip(ends, [*ends[1:], 0]):
-            piece_at[a + e - 1] = max(pid[e - s - 1, base[i] + s], -1)
 
 
 def decode_ids(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
@@ -266,11 +324,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, seed: int = 1, key: str = "d
     v = vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known()
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for a, b, data, offsets in text_slices(batch.column(2), 1 << 20):
                 row_seed = mix(keys[a:b] + mix(np.array([seed], np.uint64)))
-                ids, counts = encode_slice(data, offsets, row_seed, v)
+                ids, counts = encode_slice(data, offsets, row_seed, v, known)
                 back = decode_ids(ids, v)
                 size = np.diff(v.offsets)[ids]
                 ends = np.concatenate([[0], np.cumsum(counts)])
