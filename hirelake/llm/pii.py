@@ -1,6 +1,6 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
-Candidate spans come from strict and looser patterns. Labelers (form, gazetteer,
+Candidate spans come from strict and looser patterns, and from runs that may be keys or tokens. Labelers (form, gazetteer,
 context, surroundings, layout) vote on each; expectation-maximisation over the
 counts of vote patterns estimates how reliable each labeler is for each kind, and
 the resulting soft labels train a naive Bayes classifier on the spans' features.
@@ -18,6 +18,8 @@ from hirelake.llm.stored import stored, work_folder
 from hirelake.operators.stages import evaluated_once
 
 KINDS = ["email", "ip", "card", "phone"]
+# Kinds beyond the base rules: all their spans are the method's. They come after the base kinds in order.
+MORE_KINDS = ["secret"]
 # The base patterns, written so that one search over a text takes linear time: no
 # repetition gives back, and a run is tried from its first character (or where the
 # last match ended) only, as the leftmost match begins there anyway.
@@ -31,6 +33,8 @@ BASE = {
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20at\x20|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9-]++(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9.(])(?<!\+[0-9]{1,3}[\x20.-]{0,1})\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    # Keys, tokens and hashes: unbroken runs of letters, digits, _ and -; which of them have digits enough is asked afterwards.
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
 }
 # Gazetteers of top-level domains, card issuers' first digits, and country codes.
 DOMAINS = ["com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk", "eu", "it", "nl", "ch", "at"]
@@ -40,8 +44,13 @@ COUNTRIES = ["1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40
 FOR = {
     "email": r"mail|contact|write|correo|courriel", "ip": r"\bip\b|host|server|address|adresse|from",
     "card": r"card|visa|credit|karte|carte|tarjeta|pay", "phone": r"phone|call|tel|fax|mobile|contact|handy",
+    "secret": r"token|secret|passw|api.?key|access.?key|private.?key|auth|bearer|credential|\bpwd\b",
 }
 AGAINST = r"version|\bv\.?$|isbn|sha|token|key|serial|invoice|order|password|license|build|#$|="
+# What stands before hashes and ids that are no secret.
+AGAINST_SECRET = r"sha-?[0-9]|md5|commit|checksum|digest|\brev|uuid|\bid\b|https?:|/$|isbn|version"
+# First characters of tokens of well-known issuers.
+PREFIXES = ["ghp_", "gho_", "sk-", "pk-", "sk_", "pk_", "xoxb-", "xoxp-", "AKIA", "AIza", "eyJ", "glpat-"]
 
 
 @dataclass(frozen=True)
@@ -101,11 +110,15 @@ def plausible(kind: str, m: Column) -> Column:
         return F.length(F.regexp_replace(m, "[^0-9]", "")).between(12, 19)
     if kind == "phone":
         return F.length(F.regexp_replace(m, "[^0-9]", "")).between(7, 15)
+    if kind == "secret":
+        return m.rlike("[A-Za-z]") & (F.length(F.regexp_replace(m, "[^0-9]", "")) >= 4)
     return F.lit(True)
 
 
 def _votes(kind: str, m: Column, before: Column, after: Column, base: Column) -> list[Column]:
     """Each labeler's 1, 0 or -1 (abstains)."""
+    if kind == "secret":
+        return _secret_votes(m, before, after)
     digits = F.regexp_replace(m, "[^0-9]", "")
     yes = lambda c: F.when(c, 1).otherwise(0)
     known = {
@@ -123,6 +136,17 @@ def _votes(kind: str, m: Column, before: Column, after: Column, base: Column) ->
     return [yes(base), yes(known), context, yes(alone), yes(layout)]
 
 
+def _secret_votes(m: Column, before: Column, after: Column) -> list[Column]:
+    """The same labelers for keys and tokens: form, issuers' prefixes, context, surroundings, layout."""
+    yes = lambda c: F.when(c, 1).otherwise(0)
+    form = m.rlike(r"^([0-9a-f]{32,}|[0-9A-F]{32,})$") | m.rlike(r"[0-9][A-Za-z]+[0-9]+[A-Za-z]+[0-9]")
+    known = F.when(F.reduce(F.array(*map(F.lit, PREFIXES)), F.lit(False), lambda a, x: a | F.startswith(m, x)), 1).when(m.rlike("^[0-9A-Fa-f]+$"), -1).otherwise(0)
+    context = F.when(before.rlike("(?i)" + FOR["secret"]), 1).when(before.rlike("(?i)" + AGAINST_SECRET), 0).otherwise(-1)
+    assigned = before.rlike(r"[=:]\s*[\"'`]?$") | (before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]"))
+    layout = ~m.rlike("[-_]{2}|^[-_]|[-_]$") & ~m.rlike("^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-") & ~m.rlike("[A-Za-z]{12}")
+    return [yes(form), known, context, yes(assigned), yes(layout)]
+
+
 def _features(m: Column, before: Column, after: Column, loose: bool) -> list[Column]:
     side = lambda c, p: F.when(c.rlike(p % r"\p{L}"), "letter").when(c.rlike(p % "[0-9]"), "digit").when(c.rlike(p % r"\s"), "blank").when(c == "", "edge").otherwise("mark")
     return [
@@ -201,7 +225,8 @@ def candidates(docs: DataFrame, plan: PiiPlan = PiiPlan()) -> DataFrame:
     digit, has = F.col("text").rlike("[0-9]"), lambda x: F.contains(F.col("text"), F.lit(x))
     df = evaluated_once(df.withColumn("digit", digit), "digit")
     gates = {"email": has("@"), "ip": F.col("digit") & has("."), "card": F.col("digit"), "phone": has("+")}
-    loose = {"email": has("[at]") | has("(at)") | (has(" at ") & (has(".") | has(" dot "))), "phone": F.col("digit")}
+    secret = F.col("digit") & F.col("text").rlike(r"[A-Za-z0-9_-]{20}")
+    loose = {"secret": secret, "email": has("[at]") | has("(at)") | (has(" at ") & (has(".") | has(" dot "))), "phone": F.col("digit")}
     found = {k: (k, gates[k], BASE[k], False) for k in KINDS} | {f"loose_{k}": (k, loose[k], LOOSE[k], True) for k in LOOSE}
     df = _located(df, found, plan.context).drop("digit")
 
@@ -316,15 +341,16 @@ def probability(x: Column, model: PiiModel) -> Column:
 
 def _joined(spans: Column) -> Column:
     order = F.array_sort(F.transform(spans, lambda x: F.struct(
-        x["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), x["kind"]).alias("k"), x["end"].alias("end"), x["kind"].alias("kind"))))
+        x["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS + MORE_KINDS)), x["kind"]).alias("k"), x["end"].alias("end"), x["kind"].alias("kind"))))
     return F.array_join(F.transform(order, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
 def find(docs: DataFrame, plan: PiiPlan = PiiPlan()) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for every row.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_secret) for every row.
 
     Counts and hash are of the base spans; spans adds those that only the
-    classifier accepts. A null text is an empty one; rows that repeat an id get
+    classifier accepts: looser forms of the base kinds, and spans of MORE_KINDS (keys and
+    tokens), n_secret of them. A null text is an empty one; rows that repeat an id get
     a row each; columns other than doc_id and text are not read.
     """
     folder = work_folder(docs.sparkSession)
@@ -337,4 +363,5 @@ def find(docs: DataFrame, plan: PiiPlan = PiiPlan()) -> DataFrame:
     return out.select(
         "doc_id", *[count(k) for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+        F.size(F.filter("added", lambda x: x["kind"] == "secret")).cast("long").alias("n_secret"),
     )

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from hirelake.llm.pii import KINDS, PiiPlan, candidates, find, fit, meets_base
+from hirelake.llm.pii import KINDS, MORE_KINDS, PiiPlan, candidates, find, fit, meets_base
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -66,9 +66,9 @@ def test_base_spans_equal_plain_searches(docs):
 def test_method_adds_loose_forms_and_learns_reliabilities(docs):
     out = {r.doc_id: r for r in find(docs).collect()}
     assert out[5].spans and out[5].n_added == 1 and out[5].n_phone == 0
-    assert out[4].spans == "" and out[7].n_ip == 0
+    assert out[4].spans == "secret:8:48" and out[4].n_secret == 1 and out[4].n_card == 0 and out[7].n_ip == 0
     model = fit(candidates(docs), PiiPlan())
-    assert set(model.reliability) <= set(KINDS) and all(0 < y < 1 and 0 < n < 1 for k in model.reliability.values() for y, n in k)
+    assert set(model.reliability) <= set(KINDS + MORE_KINDS) and all(0 < y < 1 and 0 < n < 1 for k in model.reliability.values() for y, n in k)
     yes, no = model.reliability["card"][0]
     assert yes > no
 
@@ -83,3 +83,27 @@ def test_empty_and_native(spark, docs):
 def test_loose_email_with_a_plain_dot_is_a_candidate(spark):
     df = spark.createDataFrame([(1, "write to jane at example.com today")], "doc_id long, text string")
     assert [x.kind for r in candidates(df).collect() for x in r.c] == ["email"]
+
+
+def test_the_model_not_the_pattern_decides_on_secrets(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    kinds = [
+        (True, lambda: f'api_key = "{word(40)}" is set'), (True, lambda: f"password: {word(32)}"), (True, lambda: f'TOKEN="{word(48)}"'),
+        (False, lambda: f"see commit {word(40)} for it"), (False, lambda: f"sha256 {word(64)} of the file"), (False, lambda: f"the page chapter-{rng.randrange(10**4, 10**5)}-of-the-book here"),
+        (False, lambda: f"id {word(8)}-{word(4)}-{word(4)}-{word(4)}-{word(12)} there"),
+    ]
+    rows = [(i, kinds[i % len(kinds)][1]()) for i in range(350)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(x.kind == "secret" for r in candidates(docs).collect() for x in r.c) > 250  # both sides are candidates
+    got = {r.doc_id: r.n_secret for r in find(docs).collect()}
+    assert all((got[i] == 1) == kinds[i % len(kinds)][0] for i in got), {i % len(kinds) for i in got if (got[i] == 1) != kinds[i % len(kinds)][0]}
+
+
+def test_long_runs_and_ends_of_secrets(spark):
+    rows = [(1, "a1" * 100_000), (2, "x" * 100_000), (3, "\U0001f600 token=" + "ab12" * 10), (4, "-" * 50_000), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: [(x.kind, x.start, x.end) for x in r.c if x.kind == "secret"] for r in candidates(docs).collect()}
+    assert spans == {1: [("secret", 0, 200_000)], 2: [], 3: [("secret", 8, 48)], 4: [], 5: []}
