@@ -129,8 +129,8 @@ def _with_source(rows: DataFrame, sources: DataFrame, *columns: str, salts: int
 def mix(docs: DataFrame, plan: MixPlan = MixPlan(), keep_text: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(rows, sources, slots, pieces) of the mix.
 
-    rows: every input row with `row` (its id here), key, size. pieces: (row, size, pass,
-    from, to) the ranges of its words that slots take, one with nulls for a row that
+    rows: every input row with `row` (its id here), key, size. pieces: (row, size, shard, pass,
+    from, to) the ranges of its words that slots of an output shard take, one with nulls for a row that
     has none. Null texts have no words; a null source is a source of its own;
     rows that repeat an id are rows of their own.
     """
@@ -168,17 +168,24 @@ def mix(docs: DataFrame, plan: MixPlan = MixPlan(), keep_text: bool = False) ->
     # least() passes over nulls, so a block that no slot takes needs its own test.
     hit = F.col("words").isNotNull() & (high > low)
     pieces = parts.join(taken.hint("merge"), ["rank", "block"], "left").select(
-        "row", "size", F.when(hit, F.col("pass")).alias("pass"), F.when(hit, low - F.col("start")).alias("from"), F.when(hit, high - F.col("start")).alias("to"),
+        "row", "size", F.when(hit, F.col("shard")).alias("shard"), F.when(hit, F.col("pass")).alias("pass"), F.when(hit, low - F.col("start")).alias("from"), F.when(hit, high - F.col("start")).alias("to"),
     )
     return rows, sources, taken, pieces
 
 
 def taken_words(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) per row: the words that the mix takes of it, repeats counted."""
+    """(doc_id, size, source_size, target, taken, shards) per row: the words that the mix takes of it, repeats counted.
+
+    shards: (shard, words) of the output shards that they go to, by shard; empty if none are taken.
+    """
     rows, sources, _, pieces = mix(docs, plan)
-    taken = pieces.groupBy("row").agg(F.sum(F.coalesce(F.col("to") - F.col("from"), F.lit(0))).alias("taken"))
+    by_shard = pieces.groupBy("row", "shard").agg(F.sum(F.coalesce(F.col("to") - F.col("from"), F.lit(0))).alias("words"))
+    taken = by_shard.groupBy("row").agg(
+        F.sum("words").alias("taken"),
+        F.array_sort(F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("shard", "words")))).alias("shards"),
+    )
     out = _with_source(rows.select("row", "doc_id", "key", "size").join(taken, "row"), sources, "source_size", "target")
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 def mixed_documents(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:

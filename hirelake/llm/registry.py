@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelake.llm import fptree, kneserney, linededup, mixing, pii, pqdedup, qualityrules, resampling, sentencepieces, srsearch, toxicity, wrappers
 from hirelake.llm.setsketch import near_duplicates
@@ -15,7 +16,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken_words(documents(spark, sf_dir))
+    mixed = mixing.taken_words(documents(spark, sf_dir))
+    places = [F.size("shards").cast("long").alias("n_shards"), F.get("shards", F.lit(0))["shard"].alias("first_shard")]
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *places)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

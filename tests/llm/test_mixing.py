@@ -69,6 +69,19 @@ def test_slots_fill_shards_and_draws_differ(docs):
     assert counts.n_slots.sum() == len(rows) and counts.groupby("rank").n_slots.nunique().max() > 1
 
 
+def test_rows_get_the_words_of_the_slots_that_shards_drew(docs):
+    plan = MixPlan(block=16, shard_slots=8)
+    got = taken_words(docs, plan).collect()
+    assert all(sum(s.words for s in r.shards) == r.taken and all(s.words > 0 for s in r.shards) for r in got)
+    by_shard = {}
+    for r in got:
+        for s in r.shards:
+            by_shard[s.shard] = by_shard.get(s.shard, 0) + s.words
+    slots = mix(docs, plan)[2].groupBy("shard").agg(F.sum("words").alias("words")).collect()
+    assert by_shard == {r.shard: r.words for r in slots if r.words}
+    assert all(r.shards == [] for r in got if not r.taken) and any(len(r.shards) > 1 for r in got)
+
+
 def test_permutation_and_inverse(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select("id", permuted(F.col("id"), F.lit(n), 16, F.lit(3)).alias("p"))
