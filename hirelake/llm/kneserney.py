@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,19 @@ POOLED = "*"
 
 @dataclass(frozen=True)
 class QualityPlan:
-    """A document stays if its perplexity is at most the `quantile` of its language's trusted documents, times `room`."""
+    """A document stays if its perplexity is at most the `quantile` of its language's held-out trusted documents, times `room`.
+
+    One trusted text in `held_out`, by hash, is kept from the model and sets the limits. A
+    language of fewer than `few` trusted documents uses the pooled model and limit. To judge a text, `prior` characters of the held-out
+    mean are added to its own, as a few characters alone say little.
+    """
 
     quantile: float = 0.99
     room: float = 1.1
     block_bytes: int = 8 << 20
-    seed: int = 1
+    held_out: int = 3
+    few: int = 20
+    prior: int = 8
 
 
 def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +62,7 @@ def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc, g.view(np.int64)
 
 
-BLOCKS = "block long, ids array<long>, langs array<string>, sizes array<int>, z binary, lang string, grams array<long>"
+BLOCKS = "block long, ids array<long>, langs array<string>, sizes array<int>, helds array<boolean>, z binary, lang string, grams array<long>"
 
 
 def _packer(plan: QualityPlan):
@@ -65,26 +73,28 @@ def _packer(plan: QualityPlan):
         context = TaskContext.get()
         number = context.partitionId() << 32 if context else 0
         squeeze = zstandard.ZstdCompressor(level=9)
-        schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())),
+        schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("helds", pa.list_(pa.bool_())),
                             ("z", pa.binary()), ("lang", pa.string()), ("grams", pa.list_(pa.int64()))])
         ids: list = []
         langs: list = []
         sizes: list = []
+        helds: list = []
         raw: list[bytes] = []
         seen: dict[str, list[np.ndarray]] = {}
 
         def flush() -> pa.RecordBatch:
             nonlocal number
-            rows = [{"block": number, "ids": list(ids), "langs": list(langs), "sizes": list(sizes), "z": squeeze.compress(b"".join(raw)), "lang": None, "grams": None}]
-            rows += [{"block": number, "ids": None, "langs": None, "sizes": None, "z": None, "lang": k, "grams": np.unique(np.concatenate(v))} for k, v in seen.items()]
+            rows = [{"block": number, "ids": list(ids), "langs": list(langs), "sizes": list(sizes), "helds": list(helds), "z": squeeze.compress(b"".join(raw)), "lang": None, "grams": None}]
+            rows += [{"block": number, "ids": None, "langs": None, "sizes": None, "helds": None, "z": None, "lang": k, "grams": np.unique(np.concatenate(v))} for k, v in seen.items()]
             number += 1
-            for x in (ids, langs, sizes, raw, seen):
+            for x in (ids, langs, sizes, helds, raw, seen):
                 x.clear()
             return pa.RecordBatch.from_pylist(rows, schema=schema)
 
         held = 0
         for batch in batches:
             batch_ids, batch_langs = batch.column(0).to_pylist(), [x if x is not None else "" for x in batch.column(1).to_pylist()]
+            batch_helds = batch.column(3).to_pylist()
             for a, b, data, offsets in text_slices(batch.column(2), 1 << 20):
                 doc, g = grams_of(data, offsets)
                 own = np.array(batch_langs[a:b])
@@ -92,6 +102,7 @@ def _packer(plan: QualityPlan):
                     seen.setdefault(str(lang), []).append(np.unique(g[(own == lang)[doc]]))
                 ids += batch_ids[a:b]
                 langs += batch_langs[a:b]
+                helds += batch_helds[a:b]
                 sizes += np.diff(offsets).tolist()
                 raw.append(data.tobytes())
                 held += len(data)
@@ -121,7 +132,7 @@ def _slices(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20):
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, g, c) of trusted documents, summed in the task as far as memory for two million n-grams goes."""
+    """(lang, g, c) of the trusted documents that are not held out, summed in the task as far as memory for two million n-grams goes."""
     names = ["lang", "g", "c"]
     have: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -136,7 +147,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             ids, langs, data, offsets = _unpacked(batch, i)
             good = set(batch.column("trusted")[i].as_py())
-            trusted = np.array([x in good for x in ids])
+            trusted = np.array([x in good and not h for x, h in zip(ids, batch.column("helds")[i].as_py())])
             for a, b, part, at in _slices(data, offsets):
                 doc, g = grams_of(part, at)
                 for lang in np.unique(langs[a:b][trusted[a:b]]):
@@ -228,46 +239,68 @@ def _scorer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         keys, lps = tables[str(lang)]
                         mine = (langs[a:b] == lang)[doc]
                         total[a:b] += np.bincount(doc[mine], lps[np.searchsorted(keys, g[mine])], b - a)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs.tolist(), pa.string()), pa.array(count), pa.array(total)], names=["doc_id", "lang", "n", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs.tolist(), pa.string()), pa.array(count), pa.array(total),
+                                               batch.column("helds")[i].values], names=["doc_id", "lang", "n", "total", "held"])
 
 
 def quality(docs: DataFrame, labels: DataFrame, plan: QualityPlan = QualityPlan()) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, threshold, keep), one row per row of `docs`.
 
-    Trusted are documents of which a label says quality 1. A language without
-    trusted text is scored by the model, and held to the threshold, of all languages
-    together; without any trusted text all chances are equal. Null languages are one
-    language; null and empty texts have no perplexity and do not stay. Other columns are not read.
+    Trusted are documents of which a label says quality 1. Two thirds of their texts, by hash,
+    train the models and the others set the limits, so that a limit is that of text the model
+    has not seen; copies of a text are on one side. The limit is the greater of their quantile and
+    of what few of them let expect of the next one, log-perplexities taken as normal. A language of fewer than `few` trusted
+    documents is scored by the model of all languages together and held to the limit of such
+    languages' held-out documents (of all held-out ones, if those have none; of all trusted
+    ones, if nothing is held out); without any trusted text all chances are equal and texts
+    stay. Null languages are one language; null and empty texts have no perplexity
+    and do not stay; rows that repeat an id are scored each. Other columns are not read.
     """
     folder = work_folder(docs.sparkSession)
-    given = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    held = F.pmod(F.xxhash64("text"), F.lit(plan.held_out)) == 0
+    given = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")).withColumn("held", held)
     packed = stored(given.mapInArrow(_packer(plan), BLOCKS), folder, "blocks")
-    texts, grams = packed.where("ids is not null").select("block", "ids", "langs", "sizes", "z"), packed.where("ids is null").select("block", "lang", "grams")
+    texts, grams = packed.where("ids is not null").select("block", "ids", "langs", "sizes", "helds", "z"), packed.where("ids is null").select("block", "lang", "grams")
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    places = texts.select("block", F.explode("ids").alias("doc_id"))
-    trusted = places.join(good, "doc_id").groupBy("block").agg(F.collect_list("doc_id").alias("trusted"))
+    places = texts.select("block", F.explode(F.arrays_zip("ids", "langs")).alias("x")).select("block", F.col("x.ids").alias("doc_id"), F.col("x.langs").alias("lang"))
+    places = places.join(good, "doc_id")
+    trusted = places.groupBy("block").agg(F.collect_list("doc_id").alias("trusted"))
     counts = texts.join(trusted, "block").mapInArrow(_counter, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
     counts = stored(counts, folder, "counts-by-language")
     every = counts.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(POOLED).alias("lang"), "g", "c")
     counts = stored(counts.unionByName(every), folder, "counts4")
     tables = model(counts, folder)
-    known = counts.groupBy("lang").agg(F.first(F.lit(True)).alias("known"))
+    enough = places.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= plan.few)
+    known = counts.groupBy("lang").agg(F.first(F.lit(True)).alias("known")).join(enough, "lang", "left_semi")
+    known = stored(known, folder, "known")
     exploded = grams.select("block", "lang", F.explode("grams").alias("g"))
     wanted = _salted(exploded.select("lang", "g").distinct(), known, "lang", "g").select(F.col("lang").alias("asked"), F.when(F.col("known"), F.col("lang")).otherwise(POOLED).alias("lang"), "g")
     chances = log_probabilities(wanted.select("lang", "g").distinct(), tables)
     chances = stored(wanted.join(chances, ["lang", "g"]).select(F.col("asked").alias("lang"), "g", "lp"), folder, "chances")
     sent = exploded.join(chances, ["lang", "g"]).groupBy("block", "lang").agg(F.collect_list(F.struct("g", "lp")).alias("x"))
     sent = sent.select("block", F.struct("lang", F.col("x.g").alias("gs"), F.col("x.lp").alias("lps")).alias("t")).groupBy("block").agg(F.collect_list("t").alias("tables"))
-    scored = stored(texts.join(sent, "block", "left").mapInArrow(_scorer, "doc_id long, lang string, n long, total double"), folder, "scores")
-    scored = scored.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("total") / F.col("n"))))
-    exact = scored.where("perplexity is not null").select("doc_id", "lang", "perplexity").join(good, "doc_id", "left_semi")
-    limit = F.percentile_approx("perplexity", F.lit(plan.quantile), F.lit(10_000)) * plan.room
-    limits = exact.groupBy("lang").agg(limit.alias("own_limit"))
-    pooled = exact.agg(limit.alias("all_limit")).withColumn("one", F.lit(1))
-    out = _salted(scored, limits, "lang", "doc_id", "total")
+    scored = stored(texts.join(sent, "block", "left").mapInArrow(_scorer, "doc_id long, lang string, n long, total double, held boolean"), folder, "scores")
+    scored = _salted(scored, known, "lang", "doc_id", "total").withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("total") / F.col("n"))))
+    exact = scored.where("perplexity is not null").join(good, "doc_id", "left_semi")
+
+    def limit(of: Column, name: str) -> Column:
+        x = F.when(of, F.log("perplexity"))
+        n, z = F.count(x), NormalDist().inv_cdf(plan.quantile)
+        # The normal quantile of the next value after n, Student's by its first term.
+        ahead = F.avg(x) + z * (1 + F.try_divide(F.lit((z * z + 1) / 4), n - 1)) * F.stddev_samp(x) * F.sqrt(1 + F.try_divide(F.lit(1), n))
+        most = F.exp(F.greatest(F.percentile_approx(x, F.lit(plan.quantile), F.lit(10_000)), ahead)) * plan.room
+        return F.when(n > 0, F.struct(most.alias("most"), F.avg(x).alias("mean"))).alias(name)
+
+    own = exact.where("known and held").groupBy("lang").agg(limit(F.lit(True), "own_limit"))
+    pooled = exact.agg(limit(F.col("held") & F.col("known").isNull(), "few_limit"), limit(F.col("held"), "all_limit"), limit(F.lit(True), "seen_limit")).withColumn("one", F.lit(1))
+    out = _salted(scored, own, "lang", "doc_id", "total")
     out = _salted(out.withColumn("one", F.lit(1)), pooled, "one", "doc_id", "total")
-    threshold = F.coalesce("own_limit", "all_limit", F.lit(float("inf")))
+    first = F.when(F.col("known"), F.col("own_limit")).otherwise(F.col("few_limit"))
+    used = F.coalesce(first, "all_limit", "seen_limit")
+    out = out.withColumn("used", used)
+    threshold = F.coalesce("used.most", F.lit(float("inf")))
+    steady = F.exp((plan.prior * F.coalesce("used.mean", F.lit(0.0)) - F.col("total")) / (plan.prior + F.col("n")))
     return out.select(
         "doc_id", "lang", F.col("n").alias("n_chars"), "perplexity", threshold.alias("threshold"),
-        F.coalesce(F.col("perplexity") <= threshold, F.lit(False)).alias("keep"),
+        F.coalesce(F.when(F.col("n") > 0, steady <= threshold), F.lit(False)).alias("keep"),
     )

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirelake.llm.kneserney import QualityPlan, quality
 
@@ -66,7 +67,8 @@ def test_equals_plain_model(corpus):
     got = {r.doc_id: r for r in quality(docs, labels, QualityPlan(block_bytes=2000)).collect()}
     assert len(got) == len(rows)
     text = {r[0]: r[1] for r in rows}
-    by = lambda lang: [r[1] for r in rows if r[0] in good and (lang is None or r[2] == lang)]
+    held = {r.doc_id for r in docs.where(F.pmod(F.xxhash64("text"), F.lit(QualityPlan().held_out)) == 0).collect()}
+    by = lambda lang: [r[1] for r in rows if r[0] in good and r[0] not in held and (lang is None or r[2] == lang)]
     for lang, ids in (("en", [r[0] for r in rows if r[2] == "en"]), ("de", [r[0] for r in rows if r[2] == "de"]), (None, [502, 503])):
         for i, want in zip(ids, brute(by(lang), [text[i] for i in ids])):
             assert got[i].perplexity == (None if want is None else pytest.approx(want, rel=1e-9)), i
@@ -82,3 +84,12 @@ def test_without_labels_and_rows(corpus):
     assert quality(docs.limit(0), labels).collect() == []
     got = quality(docs, labels.limit(0)).collect()
     assert len(got) == len(rows) and all(r.perplexity == pytest.approx(65_536) for r in got if r.n_chars)
+
+
+def test_few_trusted_texts_use_the_pooled_model_and_unseen_ones_stay(corpus):
+    docs, labels, rows, good = corpus
+    few = sorted(i for i in good if i < 160)[:12]
+    got = {r.doc_id: r for r in quality(docs, labels.where(F.col("doc_id").isin(few))).collect()}
+    assert len({r.threshold for r in got.values()}) == 1
+    clean = [i for i in range(160) if i % 10 != 9]
+    assert sum(got[i].keep for i in clean) >= 0.9 * len(clean) and not any(got[i].keep for i in range(160) if i % 10 == 9)
