@@ -4,8 +4,8 @@ A document is the set of its distinct 5-word shingles. Each shingle runs one
 Poisson process per register; a register keeps the level, on an exponential
 scale, of its earliest arrival. Sketches merge by the larger level and equal
 levels are likelier the more two sets share. Documents with equal bands are
-candidates; the joint likelihood of their registers drops those far below the
-threshold and the full sets decide the rest.
+candidates; the joint likelihood of their registers and a bound from bitmaps of
+the sets drop those below the threshold, and the full sets decide the rest.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ class SketchPlan:
     base: float = 1.001
     percent: int = 75
     slack: float = 0.17
+    words: int = 64  # of 64 bits in the bitmap of a set
     shingle: int = 5
     block: int = 256
 
@@ -89,10 +90,32 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, base:
     return j[np.arange(len(j)), like.argmax(1)]
 
 
+def set_bits(who: np.ndarray, shingles: np.ndarray, n_docs: int, plan: SketchPlan) -> np.ndarray:
+    """Bitmaps (n_docs x words): every shingle sets the bit of its cell."""
+    cell = mix(shingles + SALTS[2]) % U64(64 * plan.words)
+    out = np.zeros(n_docs * plan.words, np.uint64)
+    np.bitwise_or.at(out, who * plan.words + (cell >> U64(6)).astype(np.int64), U64(1) << (cell & U64(63)))
+    return out.reshape(n_docs, plan.words)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whether sets with these bitmaps can reach the similarity, the most that they can share).
+
+    A cell that only one set fills holds a shingle that the other lacks, so the
+    bound never rejects a link. It is tight while sets are smaller than bitmaps;
+    for much larger sets it lets nearly all pass and the likelihood decides.
+    """
+    both = np.bitwise_count(a & b).sum(1, dtype=np.int64)
+    only_a = np.bitwise_count(a).sum(1, dtype=np.int64) - both
+    only_b = np.bitwise_count(b).sum(1, dtype=np.int64) - both
+    shared = np.minimum(na - only_a, nb - only_b)
+    return 100 * shared >= percent * (na + nb - shared), shared
+
+
 #: Registers are cut off when a share e^-4 has seen no arrival.
 CUT = 4.0
-SALTS = mix(np.arange(1, 3, dtype=np.uint64))
-SKETCH_SCHEMA = "doc_id long, n_shingles long, sig_a long, sig_b long, registers binary, bands array<long>"
+SALTS = mix(np.arange(1, 4, dtype=np.uint64))
+SKETCH_SCHEMA = "doc_id long, n_shingles long, sig_a long, sig_b long, sketch binary, bands array<long>"
 
 
 def _sketch_batches(plan: SketchPlan):
@@ -112,28 +135,36 @@ def _sketch_batches(plan: SketchPlan):
                     keys = mix(keys * U64(3) + regs[:, r::plan.rows].astype(np.uint64) + U64(r + 1))
                 keys = mix(keys + np.arange(plan.bands, dtype=np.uint64)[None, :])
                 flat = pa.array(keys.view(np.int64).ravel())
-                raw = regs.tobytes()
-                width = plan.registers * 2
+                raw = np.concatenate([regs.view(np.uint8), set_bits(who, value, n, plan).view(np.uint8)], axis=1).tobytes()
+                width = len(raw) // n
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, n), pa.array(size.astype(np.int64)),
                     pa.array(sig[0].view(np.int64)), pa.array(sig[1].view(np.int64)),
                     pa.array([raw[i * width:(i + 1) * width] for i in range(n)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * plan.bands), flat),
-                ], names=["doc_id", "n_shingles", "sig_a", "sig_b", "registers", "bands"])
+                ], names=["doc_id", "n_shingles", "sig_a", "sig_b", "sketch", "bands"])
 
     return run
 
 
+def _unpacked(sketches: list, plan: SketchPlan) -> tuple[np.ndarray, np.ndarray]:
+    """(registers, bitmaps) of stored sketches."""
+    raw = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    cut = plan.registers * 2
+    return np.ascontiguousarray(raw[:, :cut]).view(np.int16), np.ascontiguousarray(raw[:, cut:]).view(np.uint64)
+
+
 def _likely(plan: SketchPlan):
-    """Keep pairs whose estimate is within the slack of the threshold."""
+    """Keep pairs that the bitmaps allow and whose estimate is within the slack of the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int16).reshape(n, -1) for c in ("ra", "rb"))
-            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            good = estimate(a, b, na, nb, plan.base) >= plan.percent / 100 - plan.slack
+            (ra, ba), (rb, bb) = (_unpacked(batch.column(c).to_pylist(), plan) for c in ("sa", "sb"))
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            good, _ = may_link(ba, bb, na, nb, plan.percent)
+            at = np.flatnonzero(good)
+            good[at] = estimate(ra[at], rb[at], na[at].astype(float), nb[at].astype(float), plan.base) >= plan.percent / 100 - plan.slack
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return run
@@ -166,22 +197,33 @@ def _verified(plan: SketchPlan):
     return run
 
 
-def _block_pairs(plan: SketchPlan):
-    """Within one pair of blocks of a bucket: likely pairs of different components."""
+def _block_pairs(plan: SketchPlan, every: bool):
+    """Within one pair of blocks of a bucket: likely pairs of different components.
+
+    `every` pair, or only each left member's most promising one.
+    """
     import pandas as pd
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.side == 0], rows[rows.side == 1]
         out = []
         if len(left) and len(right):
-            reg = np.frombuffer(b"".join(right.registers), np.int16).reshape(len(right), -1)
-            for x in left.itertuples():
-                mine = np.broadcast_to(np.frombuffer(x.registers, np.int16), reg.shape)
-                est = estimate(mine, reg, np.full(len(right), float(x.n)), right.n.to_numpy(float), plan.base)
-                ok = (est >= plan.percent / 100 - plan.slack) & (right.comp.to_numpy() != x.comp)
-                other = right.doc_id.to_numpy()[ok]
-                out.append(pd.DataFrame({"a": np.minimum(other, x.doc_id), "b": np.maximum(other, x.doc_id)}))
-        return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+            regs, bits = _unpacked(list(right.sketch), plan)
+            mine_regs, mine_bits = _unpacked(list(left.sketch), plan)
+            n, comp, ids = right.n.to_numpy(), right.comp.to_numpy(), right.doc_id.to_numpy()
+            for k, x in enumerate(left.itertuples()):
+                good, shared = may_link(mine_bits[k:k + 1], bits, np.full(len(n), x.n), n, plan.percent)
+                at = np.flatnonzero(good & (comp != x.comp))
+                if len(at):
+                    est = estimate(np.broadcast_to(mine_regs[k], regs[at].shape), regs[at], np.full(len(at), float(x.n)), n[at].astype(float), plan.base)
+                    at = at[est >= plan.percent / 100 - plan.slack]
+                share = shared[at] / (n[at] + x.n - shared[at])
+                if len(at) and not every:
+                    best = np.lexsort((ids[at], -share))[:1]
+                    at, share = at[best], share[best]
+                if len(at):
+                    out.append(pd.DataFrame({"a": x.doc_id, "b": ids[at], "share": share}))
+        return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "share": np.zeros(0)})
 
     return run
 
@@ -202,10 +244,12 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     kept. Other columns are not read, so their names do not matter.
 
     Equal sets are first reduced to their smallest id. A bucket's members are
-    compared with its leader. Those not joined with it go, in blocks of
-    `block` members, against all of the bucket that lies in another component;
-    so no pair that shares a bucket is lost, and none inside a component is
-    enumerated.
+    compared with its leader. Those not joined with it are compared, in blocks of
+    `block` members, with all of the bucket that lies in another component; so no
+    pair that shares a bucket is lost, and none inside a component is enumerated.
+    A comparison reads two sketches within a task and sends on one pair a
+    document, its most promising, as long as that joins components; only then
+    all pairs that the sketches still allow, which lie close to the threshold.
     """
     spark = docs.sparkSession
     folder = work_folder(spark)
@@ -218,7 +262,7 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     copies = stored(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")), folder, "copies")
     # One sketch per distinct set: a repeated id adds the same row again.
     whole = sets.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sig_a", "sig_b"), ["doc_id", "n_shingles", "sig_a", "sig_b"], "left_semi")
-    reps = whole.select("doc_id", F.col("n_shingles").alias("n"), "registers")
+    reps = whole.select("doc_id", F.col("n_shingles").alias("n"), "sketch")
     members = whole.select(F.explode("bands").alias("bucket"), "doc_id").distinct()
     counted = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(counted, "bucket"), folder, "shared-buckets")
@@ -230,13 +274,13 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     members = stored(members.drop("weight").join(leads, "bucket"), folder, "members")
     counted = members.groupBy("bucket").agg(F.first("size").alias("size"))
 
-    def with_registers(pairs: DataFrame) -> DataFrame:
-        ra = reps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
-        rb = reps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-        return pairs.join(ra, "a").join(rb, "b").select("a", "b", "na", "nb", "ra", "rb")
+    def with_sketches(pairs: DataFrame) -> DataFrame:
+        ra = reps.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+        rb = reps.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+        return pairs.join(ra, "a").join(rb, "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = with_registers(pairs).mapInArrow(_likely(plan), "a long, b long")
+        likely = with_sketches(pairs).mapInArrow(_likely(plan), "a long, b long")
         return _confirm(likely, given, plan)
 
     # One pair a document, with the best leader of its buckets, joins most copies; then
@@ -252,31 +296,48 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     links = stored(links.union(confirmed(star)).distinct(), folder, "star-links")
     first = stored(components(links, folder, "first"), folder, "first-components")
 
-    labelled = members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
-    lead_comp = first.select(F.col("node").alias("lead"), F.col("component").alias("lc"))
-    labelled = labelled.join(lead_comp, "lead", "left").withColumn("rest", F.col("comp") != F.coalesce("lc", "lead"))
-    labelled = stored(labelled.select("bucket", "doc_id", "comp", "rest", "size", "lead"), folder, "labelled")
-    # Buckets with one odd member need nothing more: the star has compared it with the leader,
-    # but with the leader's component it has not been compared.
-    odd = labelled.where("rest").groupBy("bucket").agg(F.count("*").alias("n_rest"))
-    odd = odd.join(counted.select("bucket", "size"), "bucket").where("size > 2")
-    open_rows = labelled.drop("size").join(odd, "bucket").where("rest or doc_id <> lead")
-    blocks = lambda n: F.ceil(n / F.lit(plan.block)).cast("int")
-    n_rest, n_main = blocks(F.col("n_rest")), blocks(F.col("size") - F.col("n_rest"))
-    placed = open_rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(F.col("rest"), n_rest).otherwise(F.greatest(n_main, F.lit(1)))).cast("int"))
-    # Left side: a block of the rest. Right side: the same or a later block of the rest, or a block of the main component.
-    as_left = placed.where("rest").select("bucket", "doc_id", "comp", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.concat(
-        F.transform(F.sequence(F.col("block"), n_rest - 1), lambda j: F.struct(F.lit(True).alias("r"), j.alias("j"))),
-        F.transform(F.sequence(F.lit(0), F.greatest(n_main, F.lit(1)) - 1), lambda j: F.struct(F.lit(False).alias("r"), j.alias("j"))),
-    )).alias("to")).select("bucket", "doc_id", "comp", "side", "i", "to.r", "to.j")
-    as_right = placed.select("bucket", "doc_id", "comp", F.lit(1).alias("side"), F.col("block").alias("j"), F.col("rest").alias("r"), F.explode(
-        F.when(F.col("rest"), F.sequence(F.lit(0), F.col("block"))).otherwise(F.sequence(F.lit(0), n_rest - 1))
-    ).alias("i")).select("bucket", "doc_id", "comp", "side", "i", "r", "j")
-    tasks = as_left.unionByName(as_right).join(reps, "doc_id")
-    more = tasks.groupBy("bucket", "i", "r", "j").applyInPandas(_block_pairs(plan), "a long, b long").distinct()
-    more = stored(more, folder, "more")
-    if more.limit(1).count():
-        links = links.union(_confirm(more, given, plan))
+    def open_pairs(comp: DataFrame, every: bool, name: str) -> DataFrame:
+        labelled = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
+        lead_comp = comp.select(F.col("node").alias("lead"), F.col("component").alias("lc"))
+        labelled = labelled.join(lead_comp, "lead", "left").withColumn("rest", F.col("comp") != F.coalesce("lc", "lead"))
+        labelled = stored(labelled.select("bucket", "doc_id", "comp", "rest", "lead"), folder, f"labelled-{name}")
+        # Buckets with one odd member need nothing more: the star has compared it with the leader,
+        # but with the leader's component it has not been compared.
+        odd = labelled.where("rest").groupBy("bucket").agg(F.count("*").alias("n_rest"))
+        odd = odd.join(counted.select("bucket", "size"), "bucket").where("size > 2")
+        open_rows = labelled.join(odd, "bucket").where("rest or doc_id <> lead")
+        blocks = lambda n: F.ceil(n / F.lit(plan.block)).cast("int")
+        n_rest, n_main = blocks(F.col("n_rest")), blocks(F.col("size") - F.col("n_rest"))
+        placed = open_rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(F.col("rest"), n_rest).otherwise(F.greatest(n_main, F.lit(1)))).cast("int"))
+        # Left side: a block of the rest. Right side: the same or a later block of the rest, or a block of the main component.
+        as_left = placed.where("rest").select("bucket", "doc_id", "comp", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.concat(
+            F.transform(F.sequence(F.col("block"), n_rest - 1), lambda j: F.struct(F.lit(True).alias("r"), j.alias("j"))),
+            F.transform(F.sequence(F.lit(0), F.greatest(n_main, F.lit(1)) - 1), lambda j: F.struct(F.lit(False).alias("r"), j.alias("j"))),
+        )).alias("to")).select("bucket", "doc_id", "comp", "side", "i", "to.r", "to.j")
+        as_right = placed.select("bucket", "doc_id", "comp", F.lit(1).alias("side"), F.col("block").alias("j"), F.col("rest").alias("r"), F.explode(
+            F.when(F.col("rest"), F.sequence(F.lit(0), F.col("block"))).otherwise(F.sequence(F.lit(0), n_rest - 1))
+        ).alias("i")).select("bucket", "doc_id", "comp", "side", "i", "r", "j")
+        tasks = as_left.unionByName(as_right).join(reps, "doc_id")
+        found = tasks.groupBy("bucket", "i", "r", "j").applyInPandas(_block_pairs(plan, every), "a long, b long, share double")
+        if not every:
+            found = found.groupBy("a").agg(F.min(F.struct((-F.col("share")).alias("s"), "b")).alias("m")).select("a", "m.b")
+        return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), folder, f"more-{name}")
+
+    # One pair a document while some of them join components, then all that are left.
+    tried, turn = None, 0
+    while True:
+        pairs = open_pairs(first, False, str(turn))
+        if not pairs.limit(1).count():
+            break
+        new = stored(_confirm(pairs, given, plan), folder, f"links-{turn}")
+        tried = pairs if tried is None else tried.union(pairs)
+        if not new.limit(1).count():
+            pairs = open_pairs(first, True, "all").join(tried, ["a", "b"], "left_anti")
+            links = links.union(stored(_confirm(pairs, given, plan), folder, "links-all"))
+            break
+        links = links.union(new)
+        first = stored(components(links, folder, f"turn-{turn}"), folder, f"turn-{turn}-components")
+        turn += 1
     edges = copies.union(links)
     comp = components(edges, folder, "all")
     out = sketches.select("doc_id", "n_shingles").join(comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")

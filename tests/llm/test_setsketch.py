@@ -5,7 +5,8 @@ import re
 
 import numpy as np
 
-from hirelake.llm.setsketch import SketchPlan, estimate, near_duplicates, sketch
+from hirelake.llm import setsketch
+from hirelake.llm.setsketch import SketchPlan, estimate, may_link, near_duplicates, set_bits, sketch
 
 SCHEMA = "doc_id long, text string, component string, n string"
 
@@ -96,3 +97,38 @@ def test_same_shingle_count_as_whole_text(spark):
     text = "A b c d e f " * 50_000
     got = near_duplicates(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert got.n_shingles == len(shingles(text)) == 6
+
+
+def test_bound_of_bitmaps_rejects_no_link():
+    plan = SketchPlan()
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 300, 9_000):
+        whole = rng.integers(1, 2**63, 2 * n, dtype=np.uint64)
+        for shared in {0, n // 2, (6 * n) // 7, (6 * n) // 7 + 1, n}:
+            a, b = whole[:n], whole[n - shared:2 * n - shared]
+            bits = set_bits(np.repeat([0, 1], n), np.concatenate([a, b]), 2, plan)
+            size = np.array([n])
+            good, most = may_link(bits[:1], bits[1:], size, size, 75)
+            assert most[0] >= shared
+            assert good[0] or 100 * shared < 75 * (2 * n - shared)
+
+
+def test_near_copies_of_an_absent_text_send_few_pairs(spark, tmp_path, monkeypatch):
+    """Documents that share a text they all differ from: alike below the threshold, in the same buckets."""
+    rng = random.Random(11)
+    counts = []
+    for n in (60, 240):
+        base = [f"b{i}" for i in range(300)]
+        rows = []
+        for k in range(n):
+            words = list(base)
+            for at in rng.sample(range(300), 7):
+                words[at] = f"x{k}-{at}"
+            rows.append((k, " ".join(words)))
+        root = tmp_path / str(n)
+        monkeypatch.setattr(setsketch, "work_folder", lambda _: str(root))
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = brute(rows)
+        assert all(r.component_id == want[r.doc_id] for r in got)
+        counts.append(sum(spark.read.parquet(str(p)).count() for p in root.iterdir() if p.name.startswith("more-")))
+    assert counts[1] <= 3 * 240
