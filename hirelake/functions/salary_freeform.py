@@ -2,6 +2,8 @@
 
 The text is reduced step by step to `[word] AMOUNT [connector AMOUNT]` and must
 then match that shape as a whole, so anything not understood ends as `failed`.
+A text without numbers is understood if its words, but for nouns such as
+`salary`, are one of the known phrases, whatever punctuation stands between.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ IGNORED_WORDS = (
     "gross|net|salary|package|approximately|hoặc|or|theo +năng +lực|"
     "negotiable|negotiation|negotiated|thỏa +thuận|thoả +thuận|thương +lượng"
 )
+# Ours: what may stand around a phrase; no digit, sign or currency is among them.
+PUNCTUATION = ".,;:!?()-'\""
+NOUNS = ["gross", "net", "salary", "package"]
 MONTH_PATTERN = r"(/ ?month|per month|/ ?tháng|mỗi tháng)"
 YEAR_PATTERN = r"(/ ?year|per year|mỗi năm)"
 UP_TO_WORDS = "up to|upto|up|đến|tối đa"
@@ -71,7 +76,14 @@ def _plain(text: Column) -> Column:
 
 
 def _phrase_key(text: Column) -> Column:
-    return F.regexp_replace(text, r"[ !.]+$", "")
+    """The text's words without punctuation and without the nouns that only say what it is about."""
+    words = F.filter(F.split(F.translate(text, PUNCTUATION, " " * len(PUNCTUATION)), " "), lambda w: (w != "") & ~w.isin(NOUNS))
+    return F.array_join(words, " ")
+
+
+def _phrase_keys(phrases: list[str]) -> list[str]:
+    blank = str.maketrans(PUNCTUATION, " " * len(PUNCTUATION))
+    return sorted({" ".join(w for w in p.lower().translate(blank).split() if w not in NOUNS) for p in phrases})
 
 
 def _value(number: Column) -> Column:
@@ -94,7 +106,7 @@ def parse_freeform_salary(
     outputs: tuple[str, str, str, str, str] = ("min_salary", "max_salary", "currency", "period", "parse_status"),
 ) -> Callable[[DataFrame], DataFrame]:
     """Add the five free-form salary columns."""
-    phrases = sorted({p.lower().rstrip(" !.") for p in NO_NUMBER_PHRASES})
+    phrases = _phrase_keys(NO_NUMBER_PHRASES)
 
     def run(df: DataFrame) -> DataFrame:
         kept = df.columns

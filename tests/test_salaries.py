@@ -72,6 +72,14 @@ FREEFORM_CASES = {
     "$2k": (None, None, None, None, "failed"),
     "up to 20m - 30m": (None, None, None, None, "failed"),
     "10m 20m 30m": (None, None, None, None, "failed"),
+    "Competitive salary": (None, None, None, None, "success"),
+    "Salary: negotiable": (None, None, None, None, "success"),
+    "Negotiable (gross)": (None, None, None, None, "success"),
+    "Attractive salary package!": (None, None, None, None, "success"),
+    "salary": (None, None, None, None, "failed"),
+    "Not negotiable": (None, None, None, None, "failed"),
+    "Negotiable 42": (None, None, None, None, "failed"),
+    "1k - 2k USD": (None, None, None, None, "failed"),
 }
 
 
