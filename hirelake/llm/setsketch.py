@@ -200,13 +200,14 @@ def _verified(plan: SketchPlan):
 def _block_pairs(plan: SketchPlan, every: bool):
     """Within one pair of blocks of a bucket: likely pairs of different components.
 
-    `every` pair, or only each left member's most promising one.
+    Either `every` pair, or each left member's most promising one where there are more
+    pairs than members; `cut` marks those.
     """
     import pandas as pd
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.side == 0], rows[rows.side == 1]
-        out = []
+        out, total = [], 0
         if len(left) and len(right):
             regs, bits = _unpacked(list(right.sketch), plan)
             mine_regs, mine_bits = _unpacked(list(left.sketch), plan)
@@ -218,12 +219,14 @@ def _block_pairs(plan: SketchPlan, every: bool):
                     est = estimate(np.broadcast_to(mine_regs[k], regs[at].shape), regs[at], np.full(len(at), float(x.n)), n[at].astype(float), plan.base)
                     at = at[est >= plan.percent / 100 - plan.slack]
                 share = shared[at] / (n[at] + x.n - shared[at])
-                if len(at) and not every:
-                    best = np.lexsort((ids[at], -share))[:1]
-                    at, share = at[best], share[best]
                 if len(at):
-                    out.append(pd.DataFrame({"a": x.doc_id, "b": ids[at], "share": share}))
-        return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "share": np.zeros(0)})
+                    total += len(at)
+                    order = np.lexsort((ids[at], -share))
+                    out.append((x.doc_id, ids[at[order]]))
+        cut = not every and total > len(rows)
+        out = [(a, b[:1] if cut else b) for a, b in out]
+        a = np.repeat(np.array([a for a, _ in out], np.int64), [len(b) for _, b in out])
+        return pd.DataFrame({"a": a, "b": np.concatenate([np.zeros(0, np.int64), *(b for _, b in out)]), "cut": cut})
 
     return run
 
@@ -247,9 +250,9 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
     compared with its leader. Those not joined with it are compared, in blocks of
     `block` members, with all of the bucket that lies in another component; so no
     pair that shares a bucket is lost, and none inside a component is enumerated.
-    A comparison reads two sketches within a task and sends on one pair a
-    document, its most promising, as long as that joins components; only then
-    all pairs that the sketches still allow, which lie close to the threshold.
+    A comparison reads two sketches within a task and sends on all likely
+    pairs of a block that has no more of them than members; else one pair a
+    member, its most promising, as long as that joins components, and only then all that the sketches still allow, which lie close to the threshold.
     """
     spark = docs.sparkSession
     folder = work_folder(spark)
@@ -318,21 +321,25 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
             F.when(F.col("rest"), F.sequence(F.lit(0), F.col("block"))).otherwise(F.sequence(F.lit(0), n_rest - 1))
         ).alias("i")).select("bucket", "doc_id", "comp", "side", "i", "r", "j")
         tasks = as_left.unionByName(as_right).join(reps, "doc_id")
-        found = tasks.groupBy("bucket", "i", "r", "j").applyInPandas(_block_pairs(plan, every), "a long, b long, share double")
-        if not every:
-            found = found.groupBy("a").agg(F.min(F.struct((-F.col("share")).alias("s"), "b")).alias("m")).select("a", "m.b")
-        return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), folder, f"more-{name}")
+        found = tasks.groupBy("bucket", "i", "r", "j").applyInPandas(_block_pairs(plan, every), "a long, b long, cut boolean")
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        return stored(found.select(*ends, "cut").groupBy("a", "b").agg(F.max("cut").alias("cut")), folder, f"more-{name}")
 
-    # One pair a document while some of them join components, then all that are left.
+    # One pair a member of a crowded block while some of them join components, then all that are left.
     tried, turn = None, 0
     while True:
         pairs = open_pairs(first, False, str(turn))
         if not pairs.limit(1).count():
             break
+        whole_blocks = not pairs.where("cut").limit(1).count()
+        pairs = pairs.select("a", "b")
         new = stored(_confirm(pairs, given, plan), folder, f"links-{turn}")
         tried = pairs if tried is None else tried.union(pairs)
+        if whole_blocks:
+            links = links.union(new)
+            break
         if not new.limit(1).count():
-            pairs = open_pairs(first, True, "all").join(tried, ["a", "b"], "left_anti")
+            pairs = open_pairs(first, True, "all").select("a", "b").join(tried, ["a", "b"], "left_anti")
             links = links.union(stored(_confirm(pairs, given, plan), folder, "links-all"))
             break
         links = links.union(new)
