@@ -54,3 +54,20 @@ def test_a_range_reads_only_its_folders(spark):
     assert {f.rsplit("/", 2)[1] for f in read.inputFiles()} == {"2024-2-29", "2024-3-1", "2024-3-2"}
     assert rows(read_days(spark, root, dt.date(2020, 1, 1), dt.date(2020, 1, 2), schema)) == []
     assert rows(read_days(spark, root + "/none", days[0], days[4], schema)) == []
+
+
+def test_a_file_of_one_row_group_is_dealt_out(spark, tmp_path):
+    from verification.fixture import spread
+
+    path = str(tmp_path / "one")
+    spark.range(1_000).coalesce(1).write.parquet(path)
+    asked = spark.conf.get("spark.hirelake.verification.partitions")
+    spark.conf.unset("spark.hirelake.verification.partitions")
+    try:
+        dealt = spread(spark.read.parquet(path), "id")
+        assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert dealt.count() == 1_000
+        many = spark.range(0, 1_000, 1, 64)
+        assert spread(many, "id") is many
+    finally:
+        spark.conf.set("spark.hirelake.verification.partitions", asked)
