@@ -33,3 +33,11 @@ def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(QUERIES["gold_city"](spark, SF))
     lineitem = next(line for line in plan.splitlines() if "FileScan parquet [l_" in line)
     assert "l_quantity" not in lineitem and "l_suppkey" not in lineitem
+
+
+def test_join_parsed_parses_one_row_a_job(spark):
+    """The parser's projections stand above the window that keeps the latest row."""
+    plan = plan_of(QUERIES["join_parsed"](spark, SF)).splitlines()
+    tokens = next(i for i, line in enumerate(plan) if "_tokens" in line)
+    assert any("WindowGroupLimit" in line or "Window [" in line for line in plan[tokens:])
+    assert not any("_tokens" in line for line in plan[max(i for i, line in enumerate(plan) if "WindowGroupLimit" in line):])
