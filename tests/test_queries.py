@@ -2,6 +2,7 @@ import pytest
 
 from tests.conftest import plan_of
 from verification.compare import connect, differences
+from verification.fixture import POSTINGS_SQL, TABLES, postings
 from verification.oracles import ORACLES
 from verification.queries import QUERIES
 
@@ -41,3 +42,35 @@ def test_join_parsed_parses_one_row_a_job(spark):
     tokens = next(i for i, line in enumerate(plan) if "_tokens" in line)
     assert any("WindowGroupLimit" in line or "Window [" in line for line in plan[tokens:])
     assert not any("_tokens" in line for line in plan[max(i for i, line in enumerate(plan) if "WindowGroupLimit" in line):])
+
+
+def joins_of(df) -> list[str]:
+    """The joins of a plan without broadcasts, the last one first."""
+    return [line for line in plan_of(df).splitlines() if "SortMergeJoin" in line]
+
+
+def test_lines_meet_their_orders_last(spark):
+    """Lines of an order lie together when a dedup by job begins, however large the tables are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "l_orderkey" in joins_of(postings(spark, SF))[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_postings_are_those_of_the_given_joins(spark, tmp_path):
+    """Keys that repeat, are null or have no partner, in every table."""
+    given = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz", [
+            (o, p, 3, i, 7.0, None) for i, (o, p) in enumerate([(1, 5), (1, 5), (2, 5), (3, 6), (None, 5), (2, None), (9, 5), (4, 5), (5, 8)])]),
+        "orders": ("o_orderkey long, o_custkey long", [(1, 1), (1, 2), (2, 1), (3, None), (None, 1), (4, 7), (5, 3)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int", [(1, "a", 1), (2, "b", 1), (2, "c", 2), (None, "d", 1), (3, "e", None)]),
+        "nation": ("n_nationkey int, n_name string", [(1, "x"), (2, "y"), (2, "z"), (None, "w")]),
+        "part": ("p_partkey long, p_type string, p_brand string", [(5, "t", "u"), (5, "v", None), (6, None, None), (None, "t", "u"), (8, "t", "u")]),
+    }
+    for name, (schema, values) in given.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    as_written = spark.sql(POSTINGS_SQL, **{name: spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in TABLES})
+    made = postings(spark, str(tmp_path))
+    assert made.columns == as_written.columns
+    assert sorted(map(str, made.collect())) == sorted(map(str, as_written.collect())) != []
