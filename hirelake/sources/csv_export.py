@@ -14,8 +14,12 @@ _DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "e
 _MARK = "\ufeff"  # byte-order mark; leads each file when put before the first header
 
 
-def write_csv(df: DataFrame, path: str, byte_order_mark: bool = True) -> None:
-    """Write the export columns in order; other columns are ignored."""
+#: Rows of a part file. A file with line breaks in its values is read by one task, so files stay small however few tasks write.
+FILE_ROWS = 100_000
+
+
+def write_csv(df: DataFrame, path: str, byte_order_mark: bool = True, file_rows: int = FILE_ROWS) -> None:
+    """Write the export columns in order, `file_rows` rows a file at most; other columns are ignored."""
     empty = F.array().cast("array<string>")
     columns = [F.to_json(F.coalesce(c, empty)).alias(c) if c in ARRAYS else F.col(c) for c in COLUMNS]
     out = df.select(*columns)
@@ -23,7 +27,7 @@ def write_csv(df: DataFrame, path: str, byte_order_mark: bool = True) -> None:
         out = out.withColumnRenamed(COLUMNS[0], _MARK + COLUMNS[0])
     # Whitespace belongs to the values.
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    out.write.options(**_DIALECT, **keep).csv(path)
+    out.write.options(**_DIALECT, **keep, maxRecordsPerFile=file_rows).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from hirelake.schemas import RAW_A
+from hirelake.sources.csv_export import ARRAYS, read_csv, write_csv
 from hirelake.sources.folders import names_in
 from hirelake.sources.snapshots import read_days, stored_days, write_snapshot
 from hirelake.sources.tables import materialize
@@ -71,3 +73,13 @@ def test_a_file_of_one_row_group_is_dealt_out(spark, tmp_path):
         assert spread(many, "id") is many
     finally:
         spark.conf.set("spark.hirelake.verification.partitions", asked)
+
+
+def test_export_of_one_task_is_read_by_several(spark, tmp_path):
+    """Values with line breaks keep a file in one task, so a file holds few rows."""
+    values = {f.name: F.concat(F.lit(f"{f.name}\n\""), F.col("id").cast("string")) for f in RAW_A}
+    typed = [F.array(values[f.name]).alias(f.name) if f.name in ARRAYS else F.col("id").alias(f.name) if f.name == "source_page" else values[f.name].alias(f.name) for f in RAW_A]
+    given = spark.range(250).coalesce(1).select(*typed)
+    write_csv(given, f"{tmp_path}/csv", file_rows=100)
+    assert len(list((tmp_path / "csv").glob("part-*.csv"))) == 3
+    assert sorted(map(str, read_csv(spark, f"{tmp_path}/csv").collect())) == sorted(map(str, given.collect()))
