@@ -3,7 +3,9 @@ import pytest
 from hirelake.functions.experience import experience_error, parse_experience
 from hirelake.functions.replies import decode_classification, decode_salary, prompt_record
 from hirelake.functions.roles import ROLES
+from hirelake.functions.seniority import LEVEL_PHRASES, level_in_text
 from hirelake.functions.tags import normalized_tags
+from hirelake.functions.text import SPACE_CHARS, squeeze
 from hirelake.operators.classify import classify
 from hirelake.operators.phrases import group_from_table, roles_from_table
 from pyspark.sql import functions as F
@@ -160,3 +162,18 @@ def test_mapping_phrases_of_any_length_and_number(spark):
     assert {r.title: r.roles for r in roles_from_table(df, "title", mapping).collect()} == {
         "Tuyển " + long.upper() + " gấp": ["Analyst"], "a phrase 4999 here": ["Role 4999"]}
     assert roles_from_table(df, "title", mapping.limit(0)).collect() == []
+
+
+def test_a_text_without_level_is_searched_once(spark):
+    """The level of every keyword, between other words and inside one; the search for all keywords comes before those for each."""
+    phrases = [(level, p) for level, of in LEVEL_PHRASES.items() for p in of]
+    texts = [(f" a {p} b ", level) for level, p in phrases] + [(f" a{p}b ", None) for _, p in phrases] + [(" senior intern ", "Intern"), (" ", None)]
+    found = spark.createDataFrame(texts, "text string, level string").select("level", level_in_text(F.col("text")).alias("found"))
+    assert all(r.level == r.found for r in found.collect())
+    assert "RLIKE" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_squeeze_knows_every_whitespace(spark):
+    texts = [f"{a}x{b}y{a}" for a in ("", " ", "  ", *SPACE_CHARS) for b in ["", *SPACE_CHARS, *[c + " " for c in SPACE_CHARS], *[" " + c for c in SPACE_CHARS], "   "]]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select("text", squeeze(F.col("text")).alias("out"))
+    assert all(r.out == " ".join(r.text.split()) for r in frame.collect())
