@@ -75,3 +75,12 @@ def test_day_starts_from_bodies(spark):
     ingest_day(spark, bodies(spark, ("c1", 1, listing("ab", 1, 1), None)), "b", layout.raw("b"), DAY, layout.work("b", DAY), "https://b.example/")
     assert read_day(spark, layout.raw("b"), DAY, RAW_B).count() == 4
     assert run_day(spark, layout, DAY).collect() == report
+
+
+def test_plan_of_crawls_is_stored_before_the_markup_meets_it(spark):
+    """Its size is then known, so markup is not shuffled to the few rows of a plan."""
+    folder = shared_folder(spark)
+    done = ingest(spark, bodies(spark, ("c1", 1, listing("ab", 1, 1), None), ("c1", 2, listing("c", 2, 1), None)), "b", folder, "https://x.example/")
+    assert [tuple(r) for r in spark.read.parquet(f"{folder}/plan").select("crawl_id", "last", "held_from").collect()] == [("c1", 1, None)]
+    assert "BroadcastHashJoin" in done.beyond._jdf.queryExecution().executedPlan().toString()
+    assert rows(done.beyond) == [("c1", 2)]

@@ -1,10 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from verification.compare import connect, differences
 from verification.fixture import POSTINGS_SQL, TABLES, postings
 from verification.oracles import ORACLES
-from verification.queries import QUERIES
+from verification.queries import QUERIES, crawled_pages
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,3 +75,9 @@ def test_postings_are_those_of_the_given_joins(spark, tmp_path):
     made = postings(spark, str(tmp_path))
     assert made.columns == as_written.columns
     assert sorted(map(str, made.collect())) == sorted(map(str, as_written.collect())) != []
+
+
+def test_no_window_holds_the_cards_of_a_month(spark):
+    plan = plan_of(crawled_pages(spark, SF, F.col("title"))).splitlines()
+    at = lambda *names: [i for i, line in enumerate(plan) if any(n in line for n in names)]
+    assert max(at("ObjectHashAggregate")) < min(at(" Window ", "- Window"))
