@@ -98,23 +98,31 @@ def set_bits(who: np.ndarray, shingles: np.ndarray, n_docs: int, plan: SketchPla
     return out.reshape(n_docs, plan.words)
 
 
-def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def may_link(
+    a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int, filled: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """(whether sets with these bitmaps can reach the similarity, the most that they can share).
 
     A cell that only one set fills holds a shingle that the other lacks, so the
     bound never rejects a link. It is tight while sets are smaller than bitmaps;
     for much larger sets it lets nearly all pass and the likelihood decides.
+    `filled` has the numbers of bits in either side's bitmaps, where known.
     """
     both = np.bitwise_count(a & b).sum(1, dtype=np.int64)
-    only_a = np.bitwise_count(a).sum(1, dtype=np.int64) - both
-    only_b = np.bitwise_count(b).sum(1, dtype=np.int64) - both
-    shared = np.minimum(na - only_a, nb - only_b)
+    in_a, in_b = filled or (bits_in(a), bits_in(b))
+    shared = np.minimum(na - (in_a - both), nb - (in_b - both))
     return 100 * shared >= percent * (na + nb - shared), shared
 
 
+def bits_in(bitmaps: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bitmaps).sum(1, dtype=np.int64)
+
+
 #: Registers are cut off when a share e^-4 has seen no arrival.
 CUT = 4.0
 SALTS = mix(np.arange(1, 4, dtype=np.uint64))
+#: Pairs whose bitmaps and registers are compared at a time.
+PAIRS_AT_ONCE = 4_096
 SKETCH_SCHEMA = "doc_id long, n_shingles long, sig_a long, sig_b long, sketch binary, bands array<long>"
 
 
@@ -203,30 +211,32 @@ def _block_pairs(plan: SketchPlan, every: bool):
     Either `every` pair, or each left member's most promising one where there are more
     pairs than members; `cut` marks those.
     """
-    import pandas as pd
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = rows[rows.side == 0], rows[rows.side == 1]
-        out, total = [], 0
-        if len(left) and len(right):
-            regs, bits = _unpacked(list(right.sketch), plan)
-            mine_regs, mine_bits = _unpacked(list(left.sketch), plan)
-            n, comp, ids = right.n.to_numpy(), right.comp.to_numpy(), right.doc_id.to_numpy()
-            for k, x in enumerate(left.itertuples()):
-                good, shared = may_link(mine_bits[k:k + 1], bits, np.full(len(n), x.n), n, plan.percent)
-                at = np.flatnonzero(good & (comp != x.comp))
-                if len(at):
-                    est = estimate(np.broadcast_to(mine_regs[k], regs[at].shape), regs[at], np.full(len(at), float(x.n)), n[at].astype(float), plan.base)
-                    at = at[est >= plan.percent / 100 - plan.slack]
-                share = shared[at] / (n[at] + x.n - shared[at])
-                if len(at):
-                    total += len(at)
-                    order = np.lexsort((ids[at], -share))
-                    out.append((x.doc_id, ids[at[order]]))
-        cut = not every and total > len(rows)
-        out = [(a, b[:1] if cut else b) for a, b in out]
-        a = np.repeat(np.array([a for a, _ in out], np.int64), [len(b) for _, b in out])
-        return pd.DataFrame({"a": a, "b": np.concatenate([np.zeros(0, np.int64), *(b for _, b in out)]), "cut": cut})
+    def run(rows: pa.Table) -> pa.Table:
+        side, comp, n, ids = (rows.column(c).to_numpy() for c in ("side", "comp", "n", "doc_id"))
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        # Sets whose sizes alone forbid the similarity are not looked at.
+        i, j = np.nonzero((comp[left][:, None] != comp[right]) & (
+            100 * np.minimum(n[left][:, None], n[right]) >= plan.percent * np.maximum(n[left][:, None], n[right])))
+        i, j = left[i], right[j]
+        found = []
+        if len(i):
+            regs, bits = _unpacked(rows.column("sketch").to_pylist(), plan)
+            filled = bits_in(bits)
+            for at in range(0, len(i), PAIRS_AT_ONCE):
+                a, b = i[at:at + PAIRS_AT_ONCE], j[at:at + PAIRS_AT_ONCE]
+                good, shared = may_link(bits[a], bits[b], n[a], n[b], plan.percent, (filled[a], filled[b]))
+                a, b, shared = a[good], b[good], shared[good]
+                good = estimate(regs[a], regs[b], n[a].astype(float), n[b].astype(float), plan.base) >= plan.percent / 100 - plan.slack
+                a, b, shared = a[good], b[good], shared[good]
+                found.append((a, b, shared / (n[a] + n[b] - shared)))
+        a, b, share = (np.concatenate(x) for x in zip((i[:0], j[:0], np.zeros(0)), *found))
+        order = np.lexsort((ids[b], -share, a))
+        a, b = a[order], b[order]
+        cut = not every and len(a) > rows.num_rows
+        if cut:
+            best = np.diff(a, prepend=-1) != 0
+            a, b = a[best], b[best]
+        return pa.table({"a": ids[a], "b": ids[b], "cut": np.full(len(a), cut)})
 
     return run
 
@@ -321,7 +331,7 @@ def near_duplicates(docs: DataFrame, plan: SketchPlan = SketchPlan(), id_column:
             F.when(F.col("rest"), F.sequence(F.lit(0), F.col("block"))).otherwise(F.sequence(F.lit(0), n_rest - 1))
         ).alias("i")).select("bucket", "doc_id", "comp", "side", "i", "r", "j")
         tasks = as_left.unionByName(as_right).join(reps, "doc_id")
-        found = tasks.groupBy("bucket", "i", "r", "j").applyInPandas(_block_pairs(plan, every), "a long, b long, cut boolean")
+        found = tasks.groupBy("bucket", "i", "r", "j").applyInArrow(_block_pairs(plan, every), "a long, b long, cut boolean")
         ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         return stored(found.select(*ends, "cut").groupBy("a", "b").agg(F.max("cut").alias("cut")), folder, f"more-{name}")
 

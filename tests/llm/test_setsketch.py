@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from hirelake.llm import setsketch
-from hirelake.llm.setsketch import SketchPlan, estimate, may_link, near_duplicates, set_bits, sketch
+from hirelake.llm.setsketch import SketchPlan, _block_pairs, estimate, may_link, near_duplicates, set_bits, sketch
 
 SCHEMA = "doc_id long, text string, component string, n string"
 
@@ -132,3 +134,33 @@ def test_near_copies_of_an_absent_text_send_few_pairs(spark, tmp_path, monkeypat
         assert all(r.component_id == want[r.doc_id] for r in got)
         counts.append(sum(spark.read.parquet(str(p)).count() for p in root.iterdir() if p.name.startswith("more-")))
     assert counts[1] <= 3 * 240
+
+
+@pytest.mark.parametrize("n_near", [3, 40])
+def test_a_block_is_compared_as_one_table(n_near):
+    """Pairs of a block are those that a comparison one by one finds; a crowded block sends each member's best."""
+    plan, rng = SketchPlan(), np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    sets = [base.copy() for _ in range(n_near)] + [rng.integers(0, 2**63, k, dtype=np.uint64) for k in (300, 40, 900)]
+    for s in sets[:n_near]:
+        s[rng.choice(300, 20, replace=False)] = rng.integers(0, 2**63, 20, dtype=np.uint64)
+    who, n = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.array([len(s) for s in sets])
+    regs, bits = sketch(who, np.concatenate(sets), len(sets), plan), set_bits(who, np.concatenate(sets), len(sets), plan)
+    raw = [regs[k].tobytes() + bits[k].tobytes() for k in range(len(sets))]
+    ids = np.arange(len(sets)) * 7 + 5
+    half = pa.table({"doc_id": ids, "comp": ids, "n": n, "sketch": raw})
+    rows = pa.concat_tables([half.append_column("side", pa.array([k] * len(ids))) for k in (0, 1)])
+    pairs = {}
+    for a in range(len(sets)):
+        good, shared = may_link(bits[a:a + 1], bits, n[a], n, plan.percent)
+        est = estimate(np.repeat(regs[a:a + 1], len(sets), 0), regs, np.full(len(sets), float(n[a])), n.astype(float), plan.base)
+        share = shared / (n + n[a] - shared)
+        pairs[a] = sorted((-share[b], ids[b]) for b in range(len(sets)) if b != a and good[b] and est[b] >= plan.percent / 100 - plan.slack)
+    crowded = sum(map(len, pairs.values())) > rows.num_rows
+    assert crowded == (n_near == 40)
+    for every in (True, False):
+        out = _block_pairs(plan, every)(rows).to_pydict()
+        cut = crowded and not every
+        want = [(ids[a], b) for a, found in pairs.items() for _, b in (found[:1] if cut else found)]
+        assert list(zip(out["a"], out["b"])) == want and set(out["cut"]) == {cut}
+    assert _block_pairs(plan, True)(rows.slice(0, len(sets))).num_rows == 0
