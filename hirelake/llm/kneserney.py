@@ -4,11 +4,14 @@ The model is over characters (order 4, one model a language), so that four chara
 fit in one long. Counts of trusted text are summed by n-gram and continuation
 counts, discounts and back-off weights come from joins sharded by n-gram. Texts are
 packed in blocks of a few megabytes; a block's distinct n-grams are joined with their
-probabilities and sent back to the block, which scores its documents.
+probabilities and sent back to the block, which scores its documents. Blocks of one
+language that a task packs one after the other are a unit and share their n-grams; they are
+stored in buckets of their unit, so that the texts are never shuffled.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
@@ -37,6 +40,7 @@ class QualityPlan:
     quantile: float = 0.99
     room: float = 1.1
     block_bytes: int = 8 << 20
+    unit_grams: int = 500_000  # a task's units end when they have more different n-grams than this
     held_out: int = 3
     few: int = 20
     prior: int = 8
@@ -62,10 +66,11 @@ def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc, g.view(np.int64)
 
 
-BLOCKS = "block long, ids array<long>, langs array<string>, sizes array<int>, helds array<boolean>, z binary, lang string, grams array<long>"
+BLOCKS = "unit long, lang string, ids array<long>, sizes array<int>, helds array<boolean>, z binary, grams array<long>"
 
 
 def _packer(plan: QualityPlan):
+    """Rows of two kinds: blocks of one language's texts, without grams, and the grams of a unit, without ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
@@ -73,54 +78,66 @@ def _packer(plan: QualityPlan):
         context = TaskContext.get()
         number = context.partitionId() << 32 if context else 0
         squeeze = zstandard.ZstdCompressor(level=9)
-        schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("helds", pa.list_(pa.bool_())),
-                            ("z", pa.binary()), ("lang", pa.string()), ("grams", pa.list_(pa.int64()))])
-        ids: list = []
-        langs: list = []
-        sizes: list = []
-        helds: list = []
-        raw: list[bytes] = []
-        seen: dict[str, list[np.ndarray]] = {}
-
-        def flush() -> pa.RecordBatch:
+        schema = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("helds", pa.list_(pa.bool_())),
+                            ("z", pa.binary()), ("grams", pa.list_(pa.int64()))])
+        units: dict[str, int] = {}
+        grams: dict[str, np.ndarray] = {}
+        block: dict[str, tuple[list, list, list, list[bytes], list[np.ndarray]]] = {}
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal number
-            rows = [{"block": number, "ids": list(ids), "langs": list(langs), "sizes": list(sizes), "helds": list(helds), "z": squeeze.compress(b"".join(raw)), "lang": None, "grams": None}]
-            rows += [{"block": number, "ids": None, "langs": None, "sizes": None, "helds": None, "z": None, "lang": k, "grams": np.unique(np.concatenate(v))} for k, v in seen.items()]
-            number += 1
-            for x in (ids, langs, sizes, helds, raw, seen):
-                x.clear()
-            return pa.RecordBatch.from_pylist(rows, schema=schema)
+            rows = []
+            for lang, (ids, sizes, helds, raw, seen) in block.items():
+                if lang not in units:
+                    units[lang], grams[lang] = number, np.zeros(0, np.int64)
+                    number += 1
+                grams[lang] = np.unique(np.concatenate([grams[lang], *seen]))
+                rows.append({"unit": units[lang], "lang": lang, "ids": ids, "sizes": sizes, "helds": helds, "z": squeeze.compress(b"".join(raw)), "grams": None})
+            block.clear()
+            if last or sum(map(len, grams.values())) > plan.unit_grams:
+                rows += [{"unit": units[k], "lang": k, "ids": None, "sizes": None, "helds": None, "z": None, "grams": v} for k, v in grams.items()]
+                units.clear()
+                grams.clear()
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
         held = 0
         for batch in batches:
-            batch_ids, batch_langs = batch.column(0).to_pylist(), [x if x is not None else "" for x in batch.column(1).to_pylist()]
-            batch_helds = batch.column(3).to_pylist()
+            batch_ids, batch_langs = np.array(batch.column(0).to_pylist(), object), [x if x is not None else "" for x in batch.column(1).to_pylist()]
+            batch_helds = np.array(batch.column(3).to_pylist(), object)
             for a, b, data, offsets in text_slices(batch.column(2), 1 << 20):
                 doc, g = grams_of(data, offsets)
-                own = np.array(batch_langs[a:b])
-                for lang in np.unique(own):
-                    seen.setdefault(str(lang), []).append(np.unique(g[(own == lang)[doc]]))
-                ids += batch_ids[a:b]
-                langs += batch_langs[a:b]
-                helds += batch_helds[a:b]
-                sizes += np.diff(offsets).tolist()
-                raw.append(data.tobytes())
+                own, size = np.array(batch_langs[a:b], object), np.diff(offsets)
+                for lang in dict.fromkeys(batch_langs[a:b]):
+                    mine = np.flatnonzero(own == lang)
+                    ids, sizes, helds, raw, seen = block.setdefault(lang, ([], [], [], [], []))
+                    seen.append(np.unique(g[(own == lang)[doc]]))
+                    ids += batch_ids[a:b][mine].tolist()
+                    helds += batch_helds[a:b][mine].tolist()
+                    sizes += size[mine].tolist()
+                    raw += [data[offsets[k]:offsets[k + 1]].tobytes() for k in mine]
                 held += len(data)
                 if held >= plan.block_bytes:
-                    yield flush()
+                    yield from flush(False)
                     held = 0
-        if ids:
-            yield flush()
+        yield from flush(True)
 
     return run
 
 
-def _unpacked(batch: pa.RecordBatch, i: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+def _bucketed(df: DataFrame, folder: str) -> str:
+    """Name of a table of `df` stored in buckets of its unit: a join by unit leaves its rows where they are."""
+    spark, name = df.sparkSession, "llm_blocks_" + uuid.uuid4().hex
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit").option("path", f"{folder}/blocks").saveAsTable(name)
+    return name
+
+
+def _unpacked(batch: pa.RecordBatch, i: int) -> tuple[list, np.ndarray, np.ndarray]:
     import zstandard
 
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("z")[i].as_py()) or b"", np.uint8)
     offsets = np.concatenate([[0], np.cumsum(batch.column("sizes")[i].as_py())])
-    return batch.column("ids")[i].as_py(), np.array(batch.column("langs")[i].as_py()), data, offsets
+    return batch.column("ids")[i].as_py(), data, offsets
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20):
@@ -145,16 +162,16 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, langs, data, offsets = _unpacked(batch, i)
-            good = set(batch.column("trusted")[i].as_py())
+            ids, data, offsets = _unpacked(batch, i)
+            lang, good = batch.column("lang")[i].as_py(), set(batch.column("trusted")[i].as_py())
             trusted = np.array([x in good and not h for x, h in zip(ids, batch.column("helds")[i].as_py())])
             for a, b, part, at in _slices(data, offsets):
-                doc, g = grams_of(part, at)
-                for lang in np.unique(langs[a:b][trusted[a:b]]):
-                    new, count = np.unique(g[(trusted[a:b] & (langs[a:b] == lang))[doc]], return_counts=True)
-                    old = have.get(str(lang), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                if trusted[a:b].any():
+                    doc, g = grams_of(part, at)
+                    new, count = np.unique(g[trusted[a:b][doc]], return_counts=True)
+                    old = have.get(lang, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
                     both, place = np.unique(np.concatenate([old[0], new]), return_inverse=True)
-                    have[str(lang)] = both, np.bincount(place, np.concatenate([old[1], count]), len(both)).astype(np.int64)
+                    have[lang] = both, np.bincount(place, np.concatenate([old[1], count]), len(both)).astype(np.int64)
             if sum(len(g) for g, _ in have.values()) > 2_000_000:
                 yield from rows()
     yield from rows()
@@ -224,22 +241,18 @@ def log_probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame
 def _scorer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            ids, langs, data, offsets = _unpacked(batch, i)
-            tables = {}
-            for part in batch.column("tables")[i].as_py() or []:
-                g, lp = np.array(part["gs"], np.int64), np.array(part["lps"])
-                order = np.argsort(g)
-                tables.setdefault(part["lang"], (g[order], lp[order]))
+            ids, data, offsets = _unpacked(batch, i)
+            asked, chances = batch.column("gs")[i].values, batch.column("lps")[i].values
+            keys, lps = (x.to_numpy() if x is not None else np.zeros(0) for x in (asked, chances))
+            order = np.argsort(keys)
+            keys, lps = keys[order], lps[order]
             total, count = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
             for a, b, part, at in _slices(data, offsets):
                 doc, g = grams_of(part, at)
                 count[a:b] = np.bincount(doc, minlength=b - a)
-                for lang in np.unique(langs[a:b]):
-                    if str(lang) in tables:
-                        keys, lps = tables[str(lang)]
-                        mine = (langs[a:b] == lang)[doc]
-                        total[a:b] += np.bincount(doc[mine], lps[np.searchsorted(keys, g[mine])], b - a)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs.tolist(), pa.string()), pa.array(count), pa.array(total),
+                if len(g):
+                    total[a:b] += np.bincount(doc, lps[np.searchsorted(keys, g)], b - a)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([batch.column("lang")[i].as_py()] * len(ids), pa.string()), pa.array(count), pa.array(total),
                                                batch.column("helds")[i].values], names=["doc_id", "lang", "n", "total", "held"])
 
 
@@ -259,13 +272,14 @@ def quality(docs: DataFrame, labels: DataFrame, plan: QualityPlan = QualityPlan(
     folder = work_folder(docs.sparkSession)
     held = F.pmod(F.xxhash64("text"), F.lit(plan.held_out)) == 0
     given = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")).withColumn("held", held)
-    packed = stored(given.mapInArrow(_packer(plan), BLOCKS), folder, "blocks")
-    texts, grams = packed.where("ids is not null").select("block", "ids", "langs", "sizes", "helds", "z"), packed.where("ids is null").select("block", "lang", "grams")
+    spark = docs.sparkSession
+    table = _bucketed(given.mapInArrow(_packer(plan), BLOCKS), folder)
+    packed = spark.table(table)
+    texts, grams = packed.where("ids is not null").select("unit", "lang", "ids", "sizes", "helds", "z"), packed.where("ids is null").select("unit", "lang", "grams")
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    places = texts.select("block", F.explode(F.arrays_zip("ids", "langs")).alias("x")).select("block", F.col("x.ids").alias("doc_id"), F.col("x.langs").alias("lang"))
-    places = places.join(good, "doc_id")
-    trusted = places.groupBy("block").agg(F.collect_list("doc_id").alias("trusted"))
-    counts = texts.join(trusted, "block").mapInArrow(_counter, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    places = texts.select("unit", "lang", F.explode("ids").alias("doc_id")).join(good, "doc_id")
+    trusted = places.groupBy("unit").agg(F.collect_set("doc_id").alias("trusted"))
+    counts = texts.join(trusted, "unit").mapInArrow(_counter, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
     counts = stored(counts, folder, "counts-by-language")
     every = counts.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(POOLED).alias("lang"), "g", "c")
     counts = stored(counts.unionByName(every), folder, "counts4")
@@ -273,13 +287,14 @@ def quality(docs: DataFrame, labels: DataFrame, plan: QualityPlan = QualityPlan(
     enough = places.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= plan.few)
     known = counts.groupBy("lang").agg(F.first(F.lit(True)).alias("known")).join(enough, "lang", "left_semi")
     known = stored(known, folder, "known")
-    exploded = grams.select("block", "lang", F.explode("grams").alias("g"))
+    exploded = grams.select("unit", "lang", F.explode("grams").alias("g"))
     wanted = _salted(exploded.select("lang", "g").distinct(), known, "lang", "g").select(F.col("lang").alias("asked"), F.when(F.col("known"), F.col("lang")).otherwise(POOLED).alias("lang"), "g")
     chances = log_probabilities(wanted.select("lang", "g").distinct(), tables)
     chances = stored(wanted.join(chances, ["lang", "g"]).select(F.col("asked").alias("lang"), "g", "lp"), folder, "chances")
-    sent = exploded.join(chances, ["lang", "g"]).groupBy("block", "lang").agg(F.collect_list(F.struct("g", "lp")).alias("x"))
-    sent = sent.select("block", F.struct("lang", F.col("x.g").alias("gs"), F.col("x.lp").alias("lps")).alias("t")).groupBy("block").agg(F.collect_list("t").alias("tables"))
-    scored = stored(texts.join(sent, "block", "left").mapInArrow(_scorer, "doc_id long, lang string, n long, total double, held boolean"), folder, "scores")
+    sent = exploded.join(chances, ["lang", "g"]).groupBy("unit").agg(F.collect_list(F.struct("g", "lp")).alias("x"))
+    sent = sent.select("unit", F.col("x.g").alias("gs"), F.col("x.lp").alias("lps"))
+    scored = stored(texts.join(sent, "unit", "left").mapInArrow(_scorer, "doc_id long, lang string, n long, total double, held boolean"), folder, "scores")
+    spark.sql(f"DROP TABLE {table}")  # the name alone, its files stay as all others of the folder
     scored = _salted(scored, known, "lang", "doc_id", "total").withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("total") / F.col("n"))))
     exact = scored.where("perplexity is not null").join(good, "doc_id", "left_semi")
 

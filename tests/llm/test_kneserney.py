@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.llm.kneserney import QualityPlan, quality
+from hirelake.llm.kneserney import BLOCKS, QualityPlan, _bucketed, _packer, quality
+from tests.conftest import plan_of
 
 SCHEMA = "doc_id long, text string, lang string, n_chars long, perplexity string"
 
@@ -93,3 +94,29 @@ def test_few_trusted_texts_use_the_pooled_model_and_unseen_ones_stay(corpus):
     assert len({r.threshold for r in got.values()}) == 1
     clean = [i for i in range(160) if i % 10 != 9]
     assert sum(got[i].keep for i in clean) >= 0.9 * len(clean) and not any(got[i].keep for i in range(160) if i % 10 == 9)
+
+
+def test_units_that_end_early_change_nothing(corpus):
+    docs, labels, rows, _ = corpus
+    whole = {r.doc_id: r for r in quality(docs, labels).collect()}
+    cut = {r.doc_id: r for r in quality(docs, labels, QualityPlan(block_bytes=2000, unit_grams=50)).collect()}
+    assert whole.keys() == cut.keys() and len(whole) == len({r[0] for r in rows})
+    for i, r in whole.items():
+        assert (cut[i].lang, cut[i].n_chars, cut[i].keep) == (r.lang, r.n_chars, r.keep), i
+        assert cut[i].perplexity == (None if r.perplexity is None else pytest.approx(r.perplexity, rel=1e-9)), i
+        assert cut[i].threshold == pytest.approx(r.threshold, rel=1e-9), i
+
+
+def test_texts_are_not_shuffled(spark, corpus, tmp_path):
+    """Blocks lie in buckets of their unit, so a join by unit moves the other side alone."""
+    given = corpus[0].select("doc_id", "lang", "text", F.lit(False).alias("held"))
+    table = _bucketed(given.mapInArrow(_packer(QualityPlan(block_bytes=2000, unit_grams=50)), BLOCKS), str(tmp_path))
+    packed = spark.table(table)
+    texts, grams = packed.where("ids is not null").select("unit", "ids", "z"), packed.where("ids is null")
+    assert sorted(r.id for r in texts.select(F.explode("ids").alias("id")).collect() if r.id is not None) == sorted(r[0] for r in corpus[2] if r[0] is not None)
+    assert grams.count() == grams.select("unit").distinct().count() == texts.select("unit").distinct().count() > 2
+    sent = grams.select("unit", F.explode("grams").alias("g")).hint("merge").groupBy("unit").agg(F.collect_list("g").alias("gs"))
+    plan = plan_of(texts.join(sent.hint("merge"), "unit", "left"))
+    scan_of_texts = plan[plan.index("SortMergeJoin"):].split("ObjectHashAggregate")[0]
+    assert "Exchange" not in scan_of_texts and "Bucketed: true" in scan_of_texts
+    spark.sql(f"DROP TABLE {table}")
