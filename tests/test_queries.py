@@ -5,7 +5,7 @@ from tests.conftest import plan_of
 from verification.compare import connect, differences
 from verification.fixture import POSTINGS_SQL, TABLES, postings
 from verification.oracles import ORACLES
-from verification.queries import QUERIES, crawled_pages
+from verification.queries import QUERIES, crawled_pages, in_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,3 +81,16 @@ def test_no_window_holds_the_cards_of_a_month(spark):
     plan = plan_of(crawled_pages(spark, SF, F.col("title"))).splitlines()
     at = lambda *names: [i for i, line in enumerate(plan) if any(n in line for n in names)]
     assert max(at("ObjectHashAggregate")) < min(at(" Window ", "- Window"))
+
+
+def test_batches_are_stored_once(spark, tmp_path):
+    days = ["1899-12-31", "1900-01-01", "1996-12-31", "1997-01-01", "1998-03-01", "9998-12-31", "9999-01-01", None]
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "position long, day string")
+    other = spark.range(8).withColumnRenamed("id", "position")
+    rows = rows.join(other.hint("merge"), "position").select("position", F.col("day").cast("date").alias("scraped_at"))
+    bounds = ["1900-01-01", "1997-01-01", "1998-03-01", "9999-01-01"]
+    parts = in_batches(rows, f"{tmp_path}/postings", bounds)
+    assert [sorted(r.position for r in p.collect()) for p in parts] == [[1, 2], [3], [4, 5]]
+    for p, low, high in zip(parts, bounds, bounds[1:]):
+        assert p.schema == rows.schema and "Join" not in plan_of(p)
+        assert sorted(p.collect()) == sorted(rows.where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high)).collect())
