@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from hirelake.llm.linededup import CUT, WinnowPlan, lines, repeated_runs, text_key, without_repeats
+from hirelake.llm.linededup import CUT, WinnowPlan, lines, repeated_runs, text_key, winnowed, with_rolled, without_repeats
 
 SCHEMA = "doc_id long, text string, lang string, n_runs string, row string"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -125,3 +125,22 @@ def test_short_lines_elsewhere_do_not_hide_a_passage(spark):
             n += 1
     out = {r.doc_id: r for r in without_repeats(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
     assert all(out[i].removed_words == (64 if i % 4 == 3 else 0) for i in docs)
+
+
+def test_plain_replacements_cut_as_the_regular_expression(spark):
+    texts = ["a b  c\n\n d \n", " a", "\n", " ", "", "a\tb \t c", "a\x01b c", "x\uffffy", "一。 二！三 ？", "a \n。\n b", "\r\n a\x0b\x0cb"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines(F.col("t")).alias("x")).collect()
+    assert all(r.x == re.sub("(" + CUT + ")", "\\1\uffff", r.t.replace("\uffff", " ")).split("\uffff") for r in rows)
+
+
+def test_no_slice_of_lines_is_hashed_at_each_line(spark):
+    plan = winnowed(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), WinnowPlan())._jdf.queryExecution().toString()
+    assert "xxhash64(" in plan and "slice(u" not in plan
+
+
+def test_the_same_run_of_other_lines_has_another_hash(spark):
+    # Every number in c holds four lines; changing any one line changes each number that holds it.
+    base = list(range(-30, 30))
+    rows = [(-1, base)] + [(i, [*base[:i], 1 << 30, *base[i + 1:]]) for i in range(60)]
+    out = {r.i: r.c for r in with_rolled(spark.createDataFrame(rows, "i int, u array<int>"), 40).collect()}
+    assert all((out[i][j] != out[-1][j]) == (j <= i <= j + 3) for i in range(60) for j in range(57))
