@@ -1,11 +1,12 @@
 """Wrapper inference: hand-made pages, malformed pages, merging in any grouping."""
 
 import json
+import random
 import time
 
 import pytest
 
-from hirelake.llm.wrappers import expression, extract, infer, main_text, merged, page_items, parse
+from hirelake.llm.wrappers import _steps, expression, extract, infer, main_text, merged, page_items, parse
 
 NAV = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
 PLAIN = (
@@ -114,3 +115,31 @@ def test_elements_too_many_for_a_wrapper_are_judged_too(spark):
     out = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert all(out[i] == "\n\n".join([f"Head {i}", *[f"Part {k} of page {i}" for k in range(1600)]]) for i in range(4))
     assert out[9] == out[3] and out[10] == "" and all(out[20 + i] == f"Text {i}" for i in range(4))
+
+
+def test_long_lists_are_aligned_however_far_apart_their_items_stand():
+    """The second page has 60 elements more before the 520 that both have, more than any search nearby would pass."""
+    name = lambda k: f"k{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}"
+    part = lambda k, i: f"<div class='{name(k)}'>Part {k} of {i}</div>"
+    first, second = ("".join(part(k, i) for k in places) for i, places in enumerate((range(520), [*range(520, 580), *range(520)])))
+    both = merged([page_items(parse(first)), page_items(parse(second))])
+    assert [x[0] for x in both if x[2] == 2] == [f"div.{name(k)}" for k in range(520)]
+    assert [x[0] for x in both if x[2] == 1] == [f"div.{name(k)}" for k in range(520, 580)]
+
+
+def test_steps_follow_a_longest_common_subsequence():
+    draw = random.Random(5)
+    for size, keys in ((3, 2), (12, 3), (40, 9), (700, 60), (700, 2_000)):
+        a, b = ([str(draw.randrange(keys)) for _ in range(draw.randrange(size, 2 * size))] for _ in range(2))
+        best = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(best[j] + 1 if x == y else max(best[j + 1], row[-1]))
+            best = row
+        i = j = met = 0
+        for of_a, of_b in _steps(a, b):
+            assert not (of_a and of_b) or a[i] == b[j]
+            met += of_a and of_b
+            i, j = i + of_a, j + of_b
+        assert met == best[-1] and (i == len(a) or j == len(b))
