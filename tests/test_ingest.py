@@ -84,3 +84,20 @@ def test_plan_of_crawls_is_stored_before_the_markup_meets_it(spark):
     assert [tuple(r) for r in spark.read.parquet(f"{folder}/plan").select("crawl_id", "last", "held_from").collect()] == [("c1", 1, None)]
     assert "BroadcastHashJoin" in done.beyond._jdf.queryExecution().executedPlan().toString()
     assert rows(done.beyond) == [("c1", 2)]
+
+
+def test_markup_is_stored_in_small_files_and_not_kept(spark, monkeypatch):
+    """A reader of whole pages holds thousands of rows of one file; all results come from the paging and the cards."""
+    from hirelake.plans import ingest as plan
+    from hirelake.sources.folders import names_in
+
+    monkeypatch.setattr(plan, "FILE_PAGES", 2)
+    given = bodies(spark, *[("c1", p, listing([f"j{p}"], p, 7), None) for p in range(1, 8)]).coalesce(1)
+    folder = shared_folder(spark)
+    whole = plan.decode_crawls(given, "b", f"{folder}/alone")
+    files = [n for n in names_in(spark, f"{folder}/alone/decoded") if n.endswith(".parquet")]
+    assert whole.count() == 7 and len(files) == 4 and all(".zstd" in n for n in files)
+    done = ingest(spark, given, "b", f"{folder}/run", "https://x.example/")
+    assert names_in(spark, f"{folder}/run") == ["cards", "paging", "plan"]
+    assert [r.job_id for r in done.rows.orderBy("source_page").collect()] == [f"j{p}" for p in range(1, 8)]
+    assert done.ledger.count() == 7 and done.rejects.count() == done.beyond.count() == done.violations.count() == 0

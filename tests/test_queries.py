@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from verification.compare import connect, differences
-from verification.fixture import POSTINGS_SQL, TABLES, postings
+from verification.fixture import POSTINGS_SQL, TABLES, joined_rows, made_postings, postings
 from verification.oracles import ORACLES
 from verification.queries import QUERIES, crawled_pages, in_batches
 
@@ -83,6 +83,15 @@ def test_no_window_holds_the_cards_of_a_month(spark):
     assert max(at("ObjectHashAggregate")) < min(at(" Window ", "- Window"))
 
 
+def test_texts_of_crawled_pages_are_made_after_the_shuffle_by_month(spark):
+    plan = plan_of(crawled_pages(spark, SF, F.col("job_url"))).splitlines()
+    made = [i for i, line in enumerate(plan) if "jobs.example.com" in line]
+    assert made and max(made) < min(i for i, line in enumerate(plan) if "Window " in line)
+    rows = joined_rows(spark, SF)
+    assert sorted(made_postings(rows).columns) == sorted(postings(spark, SF).columns)
+    assert made_postings(rows).exceptAll(postings(spark, SF)).count() == postings(spark, SF).exceptAll(made_postings(rows)).count() == 0
+
+
 def test_batches_are_stored_once(spark, tmp_path):
     days = ["1899-12-31", "1900-01-01", "1996-12-31", "1997-01-01", "1998-03-01", "9998-12-31", "9999-01-01", None]
     rows = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "position long, day string")
