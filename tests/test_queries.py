@@ -103,3 +103,20 @@ def test_batches_are_stored_once(spark, tmp_path):
     for p, low, high in zip(parts, bounds, bounds[1:]):
         assert p.schema == rows.schema and "Join" not in plan_of(p)
         assert sorted(p.collect()) == sorted(rows.where((F.col("scraped_at") >= low) & (F.col("scraped_at") < high)).collect())
+
+
+def test_gold_from_changes_stores_what_postings_are_derived_from(spark, monkeypatch):
+    from verification import queries
+
+    class Seen(Exception):
+        pass
+
+    def seen(rows, folder, bounds):
+        raise Seen(rows)
+
+    monkeypatch.setattr(queries, "in_batches", seen)
+    with pytest.raises(Seen) as found:
+        QUERIES["gold_from_changes"](spark, SF)
+    [rows] = found.value.args
+    assert set(rows.columns) == {"scraped_at", "l", "c", "n", "p"}
+    assert queries.made_postings(rows).exceptAll(postings(spark, SF)).count() == 0
